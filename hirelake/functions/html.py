@@ -1,27 +1,32 @@
 """Reading elements out of HTML text with Column expressions.
 
 Enough of a selector language for fixed page layouts: an opening tag with
-classes or an attribute prefix, the element's inner text (nested elements of the
-same tag included), elements after a heading, and list items under a heading.
+classes or an attribute prefix, an element's text (nested elements of the same
+tag included), elements after a heading, and list items under a heading.
 Attribute values must be quoted.
+
+Callers keep each intermediate result in its own projection: an expression that
+is referenced twice in one projection may be evaluated twice.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import blank_to_null, let, strip
 
+# Elements that cannot contain themselves: they end at their first closing tag.
+_FLAT = {"a", "h1", "h2", "h3", "h4", "p", "title"}
+
 
 def open_tag(
-    tag: str,
-    classes: Sequence[str] = (),
-    attribute: tuple[str, str] | None = None,
-    exact_attribute: bool = False,
+    tag: str, classes: Sequence[str] = (), attribute: tuple[str, str] | None = None
 ) -> str:
     """Regex of an opening tag carrying all ``classes`` and an attribute prefix."""
     wanted = "".join(
@@ -30,15 +35,13 @@ def open_tag(
     )
     if attribute:
         name, start = attribute
-        rest = "" if exact_attribute else r"""[^"']*"""
-        wanted += rf"""(?=[^>]*\s{re.escape(name)}\s*=\s*["']{re.escape(start)}{rest}["'])"""
-    return rf"<{re.escape(tag)}\b{wanted}[^>]*>"
+        wanted += rf"""(?=[^>]*\s{re.escape(name)}\s*=\s*["']{re.escape(start)}[^"']*["'])"""
+    return rf"<{tag}\b{wanted}[^>]*>"
 
 
 def after(html: Column, opening: str) -> Column:
     """Text behind the first match of ``opening``; null without a match."""
-    pieces = F.split(html, f"(?is){opening}", 2)
-    return F.when(F.size(pieces) > 1, F.get(pieces, F.lit(1)))
+    return F.get(F.split(html, f"(?is){opening}", 2), F.lit(1))
 
 
 def inner_html(rest: Column, tag: str) -> Column:
@@ -47,116 +50,137 @@ def inner_html(rest: Column, tag: str) -> Column:
     Counts opening and closing tags so that nested elements of the same tag stay
     inside.  An element that is never closed runs to the end of the text.
     """
+    if tag in _FLAT:
+        return F.get(F.split(rest, rf"(?i)</{tag}\b", 2), F.lit(0))
     pieces = F.split(rest, rf"(?i)(?=</?{re.escape(tag)}\b)")
 
     def depth_after(state: Column, piece: Column) -> Column:
-        low = F.lower(F.left(piece, F.lit(len(tag) + 2)))
-        step = (
-            F.when(low.startswith(f"</{tag}"), -1).when(low.startswith(f"<{tag}"), 1).otherwise(0)
-        )
-        depth = state["depth"] + step
-        inside = state["open"] & (depth > 0)
-        return F.struct(
-            depth.alias("depth"),
-            inside.alias("open"),
-            (state["n"] + F.when(inside, 1).otherwise(0)).alias("n"),
-        )
-
-    start = F.struct(
-        F.lit(1).alias("depth"), F.lit(True).alias("open"), F.lit(0).alias("n")
-    )
+        closing = F.when(piece.startswith("</"), -1)
+        step = closing.when(F.regexp_like(piece, F.lit(rf"(?i)^<{tag}\b")), 1).otherwise(0)
+        return F.when(
+            state["depth"] > 0,
+            F.struct(
+                (state["depth"] + step).alias("depth"),
+                (state["n"] + F.when(state["depth"] + step > 0, 1).otherwise(0)).alias("n"),
+            ),
+        ).otherwise(state)
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
 
     def cut(ps: Column) -> Column:
-        kept = F.aggregate(ps, start, depth_after)["n"]
-        return F.array_join(F.slice(ps, F.lit(1), kept), "")
+        return F.array_join(F.slice(ps, F.lit(1), F.aggregate(ps, start, depth_after)["n"]), "")
 
     return let(pieces, cut)
 
 
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " "}
+def markup_text(inner: Column) -> Column:
+    """Text with comments and tags removed; entities are left alone."""
+    return F.regexp_replace(inner, r"(?s)<!--.*?-->|<[^>]*>", "")
 
 
-def text_of(inner: Column) -> Column:
-    """Visible text: comments and tags removed, common entities decoded, stripped."""
-    text = F.regexp_replace(inner, r"(?s)<!--.*?-->|<[^>]*>", "")
-    for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(F.replace(text, F.lit("&amp;"), F.lit("&")))
+def unescape(c: Column) -> Column:
+    """Decode named and numeric character references."""
+    named = F.from_json(
+        F.lit(json.dumps({k: v for k, v in html5.items() if k.endswith(";")})),
+        "map<string,string>",
+    )
 
+    def code_point(n: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0")), "UTF-32")
+
+    def reference(piece: Column) -> Column:
+        # ``piece`` starts behind an ampersand.
+        name = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
+        decimal = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1)
+        hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
+        rest = F.regexp_replace(piece, r"^[#a-zA-Z0-9]+;", "")
+        return (
+            F.when(decimal != "", F.concat(code_point(decimal), rest))
+            .when(hexadecimal != "", F.concat(code_point(F.conv(hexadecimal, 16, 10)), rest))
+            .otherwise(
+                F.coalesce(
+                    F.concat(F.try_element_at(named, name), rest), F.concat(F.lit("&"), piece)
+                )
+            )
+        )
 
-def attribute_of(tag_text: Column, name: str) -> Column:
-    value = F.regexp_extract(tag_text, rf"""(?is)\s{re.escape(name)}\s*=\s*["']([^"']*)["']""", 1)
-    return blank_to_null(F.replace(value, F.lit("&amp;"), F.lit("&")))
+    def decode(pieces: Column) -> Column:
+        later = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), reference)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))
 
+    return F.when(c.contains("&"), let(F.split(c, "&"), decode)).otherwise(c)
 
-def element_text(html: Column, tag: str, classes: Sequence[str] = (),
-                 attribute: tuple[str, str] | None = None) -> Column:
-    """Text of the first matching element; null when there is none."""
-    return text_of(inner_html(after(html, open_tag(tag, classes, attribute)), tag))
 
+def clean_all(texts: Sequence[Column]) -> Column:
+    """Decoded and stripped texts as an array, null where the input is null."""
+    return F.transform(F.array(*texts), lambda t: strip(unescape(t)))
 
-def element_attribute(html: Column, name: str, tag: str, classes: Sequence[str] = (),
-                      attribute: tuple[str, str] | None = None) -> Column:
-    found = F.regexp_extract(html, f"(?is){open_tag(tag, classes, attribute)}", 0)
-    return attribute_of(found, name)
 
+def element(html: Column, tag: str, classes: Sequence[str] = (),
+            attribute: tuple[str, str] | None = None) -> Column:
+    """Tagless text of the first matching element; null when there is none."""
+    return markup_text(inner_html(after(html, open_tag(tag, classes, attribute)), tag))
 
-def all_attributes(html: Column, name: str, tag: str, classes: Sequence[str] = (),
-                   attribute: tuple[str, str] | None = None) -> Column:
-    """Attribute values of every matching tag, in page order."""
-    opening = F.lit(f"((?is){open_tag(tag, classes, attribute)})")
-    return F.filter(
-        F.transform(F.regexp_extract_all(html, opening, F.lit(1)), lambda t: attribute_of(t, name)),
-        lambda v: v.isNotNull(),
-    )
 
+def opening(html: Column, tag: str, classes: Sequence[str] = (),
+            attribute: tuple[str, str] | None = None) -> Column:
+    """The first matching opening tag itself."""
+    return F.regexp_extract(html, f"(?is){open_tag(tag, classes, attribute)}", 0)
 
-def sections(html: Column, opening: str) -> Column:
-    """The page cut in front of every match; what precedes the first is dropped."""
-    parts = F.split(html, f"(?is)(?={opening})")
-    return F.filter(parts, lambda p: F.regexp_like(p, F.lit(f"(?is)^{opening}")))
 
+def attribute_of(tag_text: Column, name: str) -> Column:
+    return blank_to_null(
+        F.regexp_extract(tag_text, rf"""(?is)\s{re.escape(name)}\s*=\s*["']([^"']*)["']""", 1)
+    )
 
-def after_heading(html: Column, tag: str, heading: str) -> Column:
-    """Text behind the first heading element containing ``heading``.
 
-    ``heading`` is compared with the heading's visible text, so it is data of the
-    page's language.
-    """
-    def title(part: Column) -> Column:
-        return text_of(F.regexp_extract(part, rf"(?is)^<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
+def all_attributes(html: Column, name: str, tag: str, classes: Sequence[str] = (),
+                   attribute: tuple[str, str] | None = None) -> Column:
+    """Decoded attribute values of every matching tag, in page order."""
+    tags = F.regexp_extract_all(
+        html, F.lit(f"((?is){open_tag(tag, classes, attribute)})"), F.lit(1)
+    )
+    values = F.array_compact(F.transform(tags, lambda t: attribute_of(t, name)))
+    return F.transform(values, unescape)
 
-    named = F.filter(sections(html, rf"<{tag}\b[^>]*>"), lambda p: title(p).contains(heading))
-    return F.regexp_extract(F.get(named, F.lit(0)), rf"(?is)^<{tag}\b.*?</{tag}\s*>(.*)$", 1)
 
+def sections(html: Column, start: str) -> Column:
+    """The page cut in front of every match; what precedes the first is dropped."""
+    parts = F.split(html, f"(?is)(?={start})")
+    return F.filter(parts, lambda p: F.regexp_like(p, F.lit(f"(?is)^{start}")))
 
-def next_sibling_text(rest: Column, opening: str, tag: str) -> Column:
-    """Text of the element directly behind; null when another element follows."""
-    content = F.regexp_extract(rest, rf"(?is)^(?:[^<]|<!--.*?-->)*+{opening}(.*)$", 1)
-    return text_of(inner_html(blank_to_null(content), tag))
 
+def blocks(html: Column, tag: str, classes: Sequence[str] = ()) -> Column:
+    """Contents of every matching element, in page order."""
+    start = open_tag(tag, classes)
+    return F.transform(sections(html, start), lambda p: inner_html(after(p, start), tag))
 
-def info_box(html: Column, item_tag: str, item_class: str, heading_tag: str,
-             heading: str) -> Column:
-    """Content of the first item of a list whose heading contains ``heading``."""
-    opening = open_tag(item_tag, [item_class])
 
-    def content(part: Column) -> Column:
-        return inner_html(after(part, opening), item_tag)
+def headed(html: Column, tag: str) -> Column:
+    """Every heading with what follows it: ``array<struct<head, rest>>``.
 
-    def titled(item: Column) -> Column:
-        heads = F.regexp_extract_all(
-            item, F.lit(rf"(?is)<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>"), F.lit(1)
+    ``rest`` ends in front of the next heading of the same tag.
+    """
+    def split_head(part: Column) -> Column:
+        return let(
+            F.split(part, rf"(?i)</{tag}\s*>", 2),
+            lambda halves: F.struct(
+                markup_text(F.get(halves, F.lit(0))).alias("head"),
+                F.get(halves, F.lit(1)).alias("rest"),
+            ),
         )
-        return F.exists(heads, lambda h: text_of(h).contains(heading))
 
-    items = F.transform(sections(html, opening), content)
-    return F.get(F.filter(items, titled), F.lit(0))
+    return F.transform(sections(html, rf"<{tag}\b[^>]*>"), split_head)
 
 
-def all_texts(html: Column, tag: str, classes: Sequence[str]) -> Column:
-    """Texts of every matching element, in page order."""
-    opening = open_tag(tag, classes)
-    return F.transform(
-        sections(html, opening), lambda p: text_of(inner_html(after(p, opening), tag))
-    )
+def under(heads: Column, heading: str) -> Column:
+    """What follows the first heading whose text contains ``heading``."""
+    return F.get(F.filter(heads, lambda h: h["head"].contains(heading)), F.lit(0))["rest"]
+
+
+def sibling(rest: Column, tag: str, classes: Sequence[str] = ()) -> Column:
+    """Text of the element directly behind; null when another element follows."""
+    lead = F.regexp_replace(rest, r"(?s)^(?:[^<]|<!--.*?-->)*+", "")
+    start = open_tag(tag, classes)
+    content = F.get(F.split(lead, f"(?is)^{start}", 2), F.lit(1))
+    return markup_text(inner_html(content, tag))

@@ -138,43 +138,59 @@ def skill_category(skill: Column, entries: Iterable[SkillEntry]) -> Column:
     )
 
 
+_BITS = 1 << 18
+
+
+def _gram_bitmap(patterns: DataFrame) -> Column:
+    """Bitmap over the hashes of the patterns' grams: 4096 words at most."""
+    slot = F.pmod(F.xxhash64("gram"), F.lit(_BITS))
+    words = (
+        patterns.select(F.floor(slot / 64).alias("word"), (slot % 64).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .collect()
+    )
+    filled = [0] * (_BITS // 64)
+    for w in words:
+        filled[w["word"]] = w["bits"]
+    return F.from_json(F.lit(json.dumps(filled)), "array<bigint>")
+
+
 def match_large(docs: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
     """``(key, skills)`` for dictionaries too large for the plan.
 
     Each pattern is filed under its first characters (up to three).  A document
     contributes its distinct character grams once each, candidates meet in an
-    equi-join, and only candidate patterns are tested against the text.  No pair
-    is built that does not share a gram, and no pattern or document is dropped.
+    equi-join, and only candidate patterns are tested against the text.  A bitmap
+    of fixed size drops grams no pattern starts with before anything is shuffled;
+    it may let others pass but loses none.  No pattern or document is dropped.
     """
-    gram_len = F.least(F.char_length("pattern"), F.lit(_GRAM))
     patterns = (
         dictionary.select("skill", F.lower("pattern").alias("pattern"))
         .where(F.col("pattern") != "")
         .distinct()
-        .select("skill", "pattern", F.left("pattern", gram_len).alias("gram"))
+        .withColumn("gram", F.left("pattern", F.lit(_GRAM)))
     )
+    bitmap = _gram_bitmap(patterns)
+    lengths = {
+        r[0] for r in patterns.select(F.char_length("gram")).distinct().collect()
+    }
     lowered = docs.select(F.col(key).alias("_key"), F.lower(text).alias("_text"))
 
-    def grams(t: Column) -> Column:
-        return let(
-            F.filter(F.split(t, ""), lambda c: c != ""),
-            lambda cs: F.array_distinct(
-                F.concat(
-                    cs,
-                    F.zip_with(cs, _tail(cs, 2), lambda a, b: F.concat(a, b)),
-                    F.zip_with(
-                        F.zip_with(cs, _tail(cs, 2), lambda a, b: F.concat(a, b)),
-                        _tail(cs, 3),
-                        lambda ab, c: F.concat(ab, c),
-                    ),
-                )
-            ),
-        )
-
-    # zip_with pads its shorter side, so the last grams come out null.
-    exploded = lowered.select("_key", F.explode(grams(F.col("_text"))).alias("gram")).where(
-        F.col("gram").isNotNull()
-    )
+    def listed(gram: Column) -> Column:
+        slot = F.pmod(F.xxhash64(gram), F.lit(_BITS))
+        return F.getbit(F.get(bitmap, F.floor(slot / 64).cast("int")), slot % 64) == 1
+
+    if not lengths:
+        empty = F.array().cast("array<string>")
+        return docs.select(key, empty.alias("skills"))
+    # The look-ahead yields the overlapping grams of every position in one pass.
+    grams = [
+        F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        for n in sorted(lengths)
+    ]
+    found = F.filter(F.array_distinct(F.concat(*grams)), listed)
+    exploded = lowered.select("_key", F.explode(found).alias("gram"))
     candidates = exploded.join(patterns, "gram").select("_key", "skill", "pattern")
     hits = (
         candidates.join(lowered, "_key")

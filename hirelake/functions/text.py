@@ -24,8 +24,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# The same characters one by one, for trimming without a regex.
+_SPACE_CHARS = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:

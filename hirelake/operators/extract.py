@@ -5,7 +5,7 @@ Everything is a projection over the page table: no shuffle, no Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -20,7 +20,7 @@ from hirelake.functions.people import (
     gender_from_phrase,
     gender_from_text,
 )
-from hirelake.functions.text import label_token
+from hirelake.functions.text import label_token, let, strip
 from hirelake.functions.urls import join_root, last_segment, prefix
 from hirelake.sources import values as V
 
@@ -53,10 +53,12 @@ def has_no_results(site: Column, html: Column, texts: Mapping[str, str] = V.NO_R
     Sites A and B show a sentence.  Site C shows it inside an empty-state block;
     without that block a page is empty when it has no posting link.
     """
-    empty_state = H.element_text(html, "app-empty-state", ["ng-star-inserted"])
     link = F.lit(f"(?is){H.open_tag('a', attribute=('href', '/jobs/'))}")
-    site_c = F.when(empty_state.isNotNull(), empty_state.contains(texts["jobvision"])).otherwise(
-        ~F.regexp_like(html, link)
+    site_c = let(
+        H.element(html, "app-empty-state", ["ng-star-inserted"]),
+        lambda state: F.when(state.isNotNull(), state.contains(texts["jobvision"])).otherwise(
+            ~F.regexp_like(html, link)
+        ),
     )
     return (
         F.when(site == "irantalent", html.contains(texts["irantalent"]))
@@ -67,13 +69,10 @@ def has_no_results(site: Column, html: Column, texts: Mapping[str, str] = V.NO_R
 
 
 def _links_a(html: Column) -> Column:
-    cards = F.transform(
-        H.sections(html, H.open_tag("new-position-card")),
-        lambda p: H.inner_html(H.after(p, H.open_tag("new-position-card")), "new-position-card"),
-    )
     hrefs = F.flatten(
         F.transform(
-            cards, lambda c: H.all_attributes(c, "href", "a", attribute=("href", "/en/job/"))
+            H.blocks(html, "new-position-card"),
+            lambda c: H.all_attributes(c, "href", "a", attribute=("href", "/en/job/")),
         )
     )
     return F.transform(hrefs, lambda h: F.concat(F.lit(V.SITE_BASE_URLS["irantalent"]), h))
@@ -110,111 +109,166 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.posexplode(hrefs).alias("position", "href"))
 
 
-def _site_a(html: Column, heads: SiteHeadings) -> dict[str, Column]:
-    company = {"tag": "a", "attribute": ("href", "/en/company/")}
-    title = H.element_text(
-        html, "h1", ["margin-bottom-8", "font-20", "inline-middle", "font-weight-500"]
-    )
-    description = H.element_text(
-        html, "p", ["description", "margin-top-12", "margin-bottom-8", "pre-wrap", "text-start"]
-    )
-    blocks = F.transform(
-        H.sections(html, H.open_tag("div", ["margin-y-8"])),
-        lambda p: H.inner_html(H.after(p, H.open_tag("div", ["margin-y-8"])), "div"),
-    )
-    items = F.transform(
-        blocks,
-        lambda b: H.element_text(H.inner_html(H.after(b, r"<ul\b[^>]*>"), "ul"), "li", ["description"]),
-    )
-    levels = F.transform(
-        blocks,
-        lambda b: H.element_text(
-            H.inner_html(
-                H.after(H.after_heading(b, "p", heads.seniority), r"^[^<]*<ul\b[^>]*>"), "ul"
-            ),
-            "a",
-        ),
-    )
+@dataclass(frozen=True)
+class SiteRules:
+    """How one site's detail page becomes a posting, in three projections.
+
+    ``parts`` cuts the page into reusable pieces, ``texts`` reads one text per
+    field from page and pieces, ``fields`` derives posting columns from the
+    cleaned texts.  Each step sees the columns of the one before.
+    """
+
+    parts: Callable[[SiteHeadings], dict[str, Column]]
+    texts: Callable[[SiteHeadings], dict[str, Column]]
+    fields: Callable[[], dict[str, Column]]
+
+
+def _first(found: Column) -> Column:
+    return F.get(F.array_compact(found), F.lit(0))
 
-    def first(found: Column) -> Column:
-        return F.get(F.filter(found, lambda v: v.isNotNull()), F.lit(0))
 
-    href = H.element_attribute(html, "href", **company)
+def _a_parts(heads: SiteHeadings) -> dict[str, Column]:
+    html = F.col("raw_html")
     return {
-        "title": title,
-        "company": H.element_text(html, **company),
-        "company_url": F.concat(F.lit(V.SITE_BASE_URLS["irantalent"]), href),
-        "location": H.element_text(html, "span", ["color-gray"]),
-        "description": description,
-        "employment": label_token(first(items)),
-        "experience": label_token(first(levels)),
-        "education": F.lit(V.UNKNOWN),
-        "skills": F.lit(None).cast("array<string>"),
-        "gender": gender_from_text(title, description),
+        "p_blocks": H.blocks(html, "div", ["margin-y-8"]),
+        "p_company": H.opening(html, "a", attribute=("href", "/en/company/")),
     }
 
 
-def _site_b(html: Column, heads: SiteHeadings) -> dict[str, Column]:
-    def box(heading: str) -> Column:
-        return H.info_box(html, "li", "c-infoBox__item", "h4", heading)
+def _a_texts(heads: SiteHeadings) -> dict[str, Column]:
+    html, parts = F.col("raw_html"), F.col("p_blocks")
 
-    def tags(heading: str) -> Column:
-        # The item's tag container may be any element; it closes with the item.
-        return H.all_texts(H.after(box(heading), _ANY_TAGS), "span", ["black"])
+    def lists(block: Column) -> Column:
+        return H.inner_html(H.after(block, r"<ul\b[^>]*>"), "ul")
 
-    def first(heading: str) -> Column:
-        return F.get(tags(heading), F.lit(0))
+    def level(block: Column) -> Column:
+        rest = H.under(H.headed(block, "p"), heads.seniority)
+        return H.element(H.inner_html(H.after(rest, r"^[^<]*<ul\b[^>]*>"), "ul"), "a")
 
-    skills = tags(heads.skills)
     return {
-        "title": H.element_text(
-            H.inner_html(H.after(html, H.open_tag("div", ["c-jobView__titleText"])), "div"), "h1"
+        "title": H.element(
+            html, "h1", ["margin-bottom-8", "font-20", "inline-middle", "font-weight-500"]
         ),
-        "company": H.element_text(html, "h2", ["c-companyHeader__name"]),
-        "company_url": H.element_attribute(html, "href", "a", ["c-companyHeader__logoLink"]),
-        "location": first(heads.location),
-        "description": H.next_sibling_text(
-            H.after_heading(html, "h4", heads.description_b),
-            H.open_tag("div", ["o-box__text"]),
-            "div",
+        "company": H.element(html, "a", attribute=("href", "/en/company/")),
+        "company_url": H.attribute_of(F.col("p_company"), "href"),
+        "location": H.element(html, "span", ["color-gray"]),
+        "description": H.element(
+            html, "p",
+            ["description", "margin-top-12", "margin-bottom-8", "pre-wrap", "text-start"],
         ),
-        "employment": label_token(first(heads.cooperation)),
-        "experience": label_token(first(heads.experience)),
-        "education": education_level(first(heads.education)),
-        "skills": F.when(F.size(skills) > 0, skills),
-        "gender": gender_from_label(first(heads.gender)),
+        "employment": _first(
+            F.transform(parts, lambda b: H.element(lists(b), "li", ["description"]))
+        ),
+        "experience": _first(F.transform(parts, level)),
+    }
+
+
+def _a_fields() -> dict[str, Column]:
+    return {
+        "company_url": F.concat(F.lit(V.SITE_BASE_URLS["irantalent"]), F.col("company_url")),
+        "employment_type": label_token(F.col("employment")),
+        "experience_level": label_token(F.col("experience")),
+        "gender_requirement": gender_from_text(F.col("title"), F.col("description")),
     }
 
 
 _ANY_TAGS = r"""<\w+\b(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?tags(?:\s[^"']*)?["'])[^>]*>"""
 
 
-def _site_c(html: Column, heads: SiteHeadings) -> dict[str, Column]:
-    company = {"tag": "a", "classes": ["text-primary", "font-size-2", "font-weight-bold", "yn_brand"]}
-    href = H.element_attribute(html, "href", **company)
+def _b_parts(heads: SiteHeadings) -> dict[str, Column]:
+    html = F.col("raw_html")
+
+    def box(item: Column) -> Column:
+        """Headings of a list item and the texts of its tags."""
+        return F.struct(
+            F.transform(H.headed(item, "h4"), lambda h: h["head"]).alias("heads"),
+            F.transform(
+                H.blocks(H.after(item, _ANY_TAGS), "span", ["black"]), H.markup_text
+            ).alias("tags"),
+        )
+
     return {
-        "title": H.element_text(
-            html, "h1", ["text-black", "font-size-1", "font-weight-bold", "py-2"]
-        ),
-        "company": H.element_text(html, **company),
-        "company_url": F.when(
-            href.startswith("/"), F.concat(F.lit(V.SITE_BASE_URLS["jobvision"]), href)
-        ).otherwise(href),
-        "location": H.element_text(html, "span", ["text-muted", "font-size-6"]),
-        "description": H.next_sibling_text(
-            H.after_heading(html, "h2", heads.description_c), r"<div\b[^>]*>", "div"
-        ),
-        "employment": F.lit(V.UNKNOWN),
-        "experience": F.lit(V.UNKNOWN),
-        "education": F.lit(V.UNKNOWN),
-        "skills": F.lit(None).cast("array<string>"),
-        "gender": gender_from_phrase(
-            H.element_text(html, "div", ["requirement-value", "text-black", "bg-light"])
+        "p_boxes": F.transform(H.blocks(html, "li", ["c-infoBox__item"]), box),
+        "p_title": H.inner_html(H.after(html, H.open_tag("div", ["c-jobView__titleText"])), "div"),
+        "p_logo": H.opening(html, "a", ["c-companyHeader__logoLink"]),
+        "p_heads": H.headed(html, "h4"),
+    }
+
+
+def _b_tags(heading: str) -> Column:
+    named = F.filter(
+        "p_boxes", lambda b: F.exists(b["heads"], lambda h: h.contains(heading))
+    )
+    return F.get(named, F.lit(0))["tags"]
+
+
+def _b_texts(heads: SiteHeadings) -> dict[str, Column]:
+    html = F.col("raw_html")
+
+    def first(heading: str) -> Column:
+        return F.get(_b_tags(heading), F.lit(0))
+
+    return {
+        "title": H.element(F.col("p_title"), "h1"),
+        "company": H.element(html, "h2", ["c-companyHeader__name"]),
+        "company_url": H.attribute_of(F.col("p_logo"), "href"),
+        "location": first(heads.location),
+        "description": H.sibling(
+            H.under(F.col("p_heads"), heads.description_b), "div", ["o-box__text"]
         ),
+        "employment": first(heads.cooperation),
+        "experience": first(heads.experience),
+        "education": first(heads.education),
+        "gender": first(heads.gender),
+    }
+
+
+def _b_fields() -> dict[str, Column]:
+    return {
+        "employment_type": label_token(F.col("employment")),
+        "experience_level": label_token(F.col("experience")),
+        "education_level": education_level(F.col("education")),
+        "gender_requirement": gender_from_label(F.col("gender")),
+    }
+
+
+_COMPANY_C = ("text-primary", "font-size-2", "font-weight-bold", "yn_brand")
+
+
+def _c_parts(heads: SiteHeadings) -> dict[str, Column]:
+    html = F.col("raw_html")
+    return {
+        "p_company": H.opening(html, "a", _COMPANY_C),
+        "p_heads": H.headed(html, "h2"),
+    }
+
+
+def _c_texts(heads: SiteHeadings) -> dict[str, Column]:
+    html = F.col("raw_html")
+    return {
+        "title": H.element(html, "h1", ["text-black", "font-size-1", "font-weight-bold", "py-2"]),
+        "company": H.element(html, "a", _COMPANY_C),
+        "company_url": H.attribute_of(F.col("p_company"), "href"),
+        "location": H.element(html, "span", ["text-muted", "font-size-6"]),
+        "description": H.sibling(H.under(F.col("p_heads"), heads.description_c), "div"),
+        "gender": H.element(html, "div", ["requirement-value", "text-black", "bg-light"]),
     }
 
 
-_RULES = {"irantalent": _site_a, "jobinja": _site_b, "jobvision": _site_c}
+def _c_fields() -> dict[str, Column]:
+    href = F.col("company_url")
+    base = F.lit(V.SITE_BASE_URLS["jobvision"])
+    return {
+        "company_url": F.when(href.startswith("/"), F.concat(base, href)).otherwise(href),
+        "gender_requirement": gender_from_phrase(F.col("gender")),
+    }
+
+
+RULES = {
+    "irantalent": SiteRules(_a_parts, _a_texts, _a_fields),
+    "jobinja": SiteRules(_b_parts, _b_texts, _b_fields),
+    "jobvision": SiteRules(_c_parts, _c_texts, _c_fields),
+}
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:
@@ -232,24 +286,35 @@ def extract_site(
     pages: DataFrame, site: str, as_of: date, headings: SiteHeadings = HEADINGS
 ) -> DataFrame:
     """Posting rows of one site's detail pages."""
-    rows = pages.where(F.col("source_site") == site)
-    fields = _RULES[site](F.col("raw_html"), headings)
+    rule = RULES[site]
+    texts = rule.texts(headings)
+    keep = ["id", "source_site", "source_url"]
+    skills = _b_tags(headings.skills) if site == "jobinja" else F.lit(None).cast("array<string>")
+    cut = pages.where(F.col("source_site") == site).withColumns(rule.parts(headings))
+    read = cut.select(*keep, H.clean_all(list(texts.values())).alias("t"), skills.alias("s"))
+    named = read.select(
+        *keep,
+        *[F.get("t", F.lit(i)).alias(name) for i, name in enumerate(texts)],
+        F.transform("s", lambda t: strip(H.unescape(t))).alias("skills"),
+    )
+    derived = rule.fields()
     day = F.lit(as_of).cast("date")
-    return rows.select(
+    unknown = F.lit(V.UNKNOWN)
+    return named.select(
         F.col("id").alias("raw_scrape_id"),
         last_segment(F.col("source_url")).alias("external_id"),
         "source_site",
         "source_url",
-        F.coalesce(fields["title"], F.lit("")).alias("title_persian"),
-        fields["description"].alias("description_persian"),
-        fields["company"].alias("company_name_raw"),
-        fields["company_url"].alias("company_url"),
-        fields["location"].alias("location_raw"),
-        fields["employment"].alias("employment_type"),
-        fields["experience"].alias("experience_level"),
-        fields["gender"].alias("gender_requirement"),
-        fields["education"].alias("education_level"),
-        fields["skills"].alias("skills_required"),
+        F.coalesce("title", F.lit("")).alias("title_persian"),
+        F.col("description").alias("description_persian"),
+        F.col("company").alias("company_name_raw"),
+        derived.get("company_url", F.col("company_url")).alias("company_url"),
+        F.col("location").alias("location_raw"),
+        derived.get("employment_type", unknown).alias("employment_type"),
+        derived.get("experience_level", unknown).alias("experience_level"),
+        derived["gender_requirement"].alias("gender_requirement"),
+        derived.get("education_level", unknown).alias("education_level"),
+        F.when(F.size("skills") > 0, F.col("skills")).alias("skills_required"),
         F.lit("pending").alias("processing_status"),
         day.alias("first_seen_date"),
         day.alias("last_seen_date"),
@@ -262,7 +327,7 @@ def extract_postings(
     """Posting rows of all sites' readable detail pages."""
     good = readable_pages(pages)
     return reduce(
-        DataFrame.unionByName, [extract_site(good, site, as_of, headings) for site in _RULES]
+        DataFrame.unionByName, [extract_site(good, site, as_of, headings) for site in RULES]
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelake.sources.tables import settled
+
 ROWS_PER_SLICE = 1_000_000
 _MAX_SLICES = 4_096
 
@@ -25,9 +27,10 @@ def assign_ids(
 
     ``order_by`` is numeric and close to unique.  Approximate quantiles cut the
     rows into ranges that are numbered independently; each range then starts
-    where the earlier ones end.  The cut points are fixed numbers in the plan, so
-    a recomputed task gives the same ids.
+    where the earlier ones end.  The rows are computed once, and the cut points are
+    fixed numbers in the plan, so a recomputed task gives the same ids.
     """
+    rows = settled(rows)
     total = rows.count()
     slices = min(max(-(-total // rows_per_slice), 1), _MAX_SLICES)
     cuts: list = []

@@ -9,8 +9,9 @@ back in one join on the posting id.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,20 +113,78 @@ def link(
     )
 
 
-def mentions(derived: DataFrame) -> DataFrame:
-    return derived.select("id", F.explode("skills").alias("skill"))
-
-
 @dataclass
 class Enriched:
-    postings: DataFrame
-    failed: DataFrame
-    companies: DataFrame
-    locations: DataFrame
-    skills: DataFrame
-    bridge: DataFrame
-    memory: DataFrame
-    counters: DataFrame
+    """Results of enriching ``pending`` against the current dimension tables.
+
+    ``tables``: companies, locations, skills, job_skills, translation_cache.  Each
+    result is planned when first asked for, so asking for one does not number the
+    rows of another.  Rows that break a posting rule fail and touch nothing else.
+    """
+
+    pending: DataFrame
+    tables: dict[str, DataFrame]
+    entries: list[SkillEntry]
+    as_of: date
+    at: datetime
+    hot: Hot = field(default_factory=Hot)
+
+    @cached_property
+    def checked(self) -> DataFrame:
+        return with_violations(self.pending, rules("job_postings"))
+
+    @cached_property
+    def good(self) -> DataFrame:
+        return self.checked.where(F.size("violations") == 0).drop("violations")
+
+    @cached_property
+    def failed(self) -> DataFrame:
+        """Rejected rows with status and ``error``."""
+        return (
+            self.checked.where(F.size("violations") > 0)
+            .select(*self.pending.columns, F.array_join("violations", ", ").alias("error"))
+            .withColumn("processing_status", F.lit("failed"))
+        )
+
+    @cached_property
+    def derived(self) -> DataFrame:
+        return derive(translate(self.good, self.tables["translation_cache"], self.hot), self.entries)
+
+    @cached_property
+    def mentions(self) -> DataFrame:
+        return self.derived.select("id", F.explode("skills").alias("skill"))
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return D.upsert_companies(self.tables["companies"], D.company_keys(self.good), self.as_of)
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        return D.upsert_locations(self.tables["locations"], D.location_keys(self.good))
+
+    @cached_property
+    def skills(self) -> DataFrame:
+        category = skill_category(F.col("skill"), self.entries)
+        return D.upsert_skills(self.tables["skills"], self.mentions, category, self.as_of)
+
+    @cached_property
+    def bridge(self) -> DataFrame:
+        rows = D.bridge_rows(self.mentions, self.skills, self.hot.skills)
+        return D.upsert_bridge(self.tables["job_skills"], rows)
+
+    @cached_property
+    def memory(self) -> DataFrame:
+        uses = D.text_uses(self.good, ["title_persian", "description_persian"])
+        return D.remember_translations(self.tables["translation_cache"], uses, self.at)
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return link(self.derived, self.companies, self.locations, self.hot)
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        failed = self.failed.drop("error")
+        return enrichment_counters(self.postings.unionByName(failed, allowMissingColumns=True))
 
 
 def find_hot(batch: DataFrame) -> Hot:
@@ -143,53 +202,6 @@ def find_hot(batch: DataFrame) -> Hot:
     )
 
 
-def enrich(
-    pending: DataFrame,
-    tables: dict[str, DataFrame],
-    entries: Iterable[SkillEntry],
-    as_of: date,
-    at: datetime,
-    hot: Hot = Hot(),
-) -> Enriched:
-    """Enrich ``pending`` against the current dimension tables.
-
-    ``tables``: companies, locations, skills, job_skills, translation_cache.
-    Rows that break a posting rule fail and touch nothing else.
-    """
-    entries = list(entries)
-    checked = with_violations(pending, rules("job_postings"))
-    good = checked.where(F.size("violations") == 0).drop("violations")
-    bad = checked.where(F.size("violations") > 0).select(
-        *pending.columns, F.array_join("violations", ", ").alias("error")
-    ).withColumn("processing_status", F.lit("failed"))
-
-    derived = derive(translate(good, tables["translation_cache"], hot), entries)
-    companies = D.upsert_companies(tables["companies"], D.company_keys(good), as_of)
-    locations = D.upsert_locations(tables["locations"], D.location_keys(good))
-    named = mentions(derived)
-    skills = D.upsert_skills(
-        tables["skills"], named, skill_category(F.col("skill"), entries), as_of
-    )
-    bridge = D.upsert_bridge(tables["job_skills"], D.bridge_rows(named, skills, hot.skills))
-    memory = D.remember_translations(
-        tables["translation_cache"],
-        D.text_uses(good, ["title_persian", "description_persian"]),
-        at,
-    )
-    done = link(derived, companies, locations, hot)
-    everything = done.unionByName(bad.drop("error"), allowMissingColumns=True)
-    return Enriched(
-        postings=done,
-        failed=bad,
-        companies=companies,
-        locations=locations,
-        skills=skills,
-        bridge=bridge,
-        memory=memory,
-        counters=enrichment_counters(everything),
-    )
-
-
 def run_enrichment(
     store: TableStore,
     entries: Iterable[SkillEntry],
@@ -201,94 +213,54 @@ def run_enrichment(
 ) -> DataFrame:
     """Enrich the store's pending postings and write every table's next version.
 
-    Stages are written and read back instead of recomputed: first the row-local
-    result, then the dimensions, then the rows that refer to them.  A dry run
-    returns counters of the pending rows and writes nothing.
+    Stages are written to the store and read back instead of being recomputed:
+    the checked rows, the row-local result, then each dimension before the rows
+    that refer to it.  A dry run counts the pending rows and writes nothing.
     """
-    entries = list(entries)
-    postings = store.read("job_postings")
-    pending = pending_batch(postings, batch_size)
+    pending = pending_batch(store.read("job_postings"), batch_size)
     if dry_run:
         return pending.agg(F.count("*").alias("pending_jobs_found"))
     names = ["companies", "locations", "skills", "job_skills", "translation_cache"]
-    tables = {n: store.read(n) for n in names}
-
     staging = f"{store.root}/_stage/enrich-{at:%Y%m%dT%H%M%S%f}"
-    checked = with_violations(pending, rules("job_postings"))
-    checked.write.mode("overwrite").parquet(f"{staging}/pending")
-    checked = store.spark.read.parquet(f"{staging}/pending")
-    good = checked.where(F.size("violations") == 0).drop("violations")
-    bad = checked.where(F.size("violations") > 0)
-    found = good.count()
-    store.append(
-        "processing_logs",
-        log_event(
-            store.spark, "processing", process_id, "started",
-            f"Starting processor batch of {found + bad.count()} jobs", at,
-        ),
-    )
 
-    hot = find_hot(good)
-    derive(translate(good, tables["translation_cache"], hot), entries).write.mode(
-        "overwrite"
-    ).parquet(f"{staging}/derived")
-    derived = store.spark.read.parquet(f"{staging}/derived")
-    named = mentions(derived)
-    hot = Hot(hot.companies, hot.locations, hot_keys(named, "skill"), hot.texts)
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+        return store.spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+    def log(status: str, message: str, **more) -> None:
+        row = log_event(store.spark, "processing", process_id, status, message, at, **more)
+        store.append("processing_logs", row)
+
+    job = Enriched(pending, {n: store.read(n) for n in names}, list(entries), as_of, at)
+    job.checked = staged(job.checked, "checked")
+    log("started", f"Starting processor batch of {job.checked.count()} jobs")
+    job.hot = find_hot(job.good)
+    job.derived = staged(job.derived, "derived")
+    job.hot = replace(job.hot, skills=hot_keys(job.mentions, "skill"))
+    job.companies = store.replace("companies", job.companies)
+    job.locations = store.replace("locations", job.locations)
+    job.skills = store.replace("skills", job.skills)
+    store.replace("job_skills", job.bridge)
+    store.replace("translation_cache", job.memory)
+    job.postings = staged(job.postings, "postings")
 
-    companies = store.replace(
-        "companies", D.upsert_companies(tables["companies"], D.company_keys(good), as_of)
-    )
-    locations = store.replace(
-        "locations", D.upsert_locations(tables["locations"], D.location_keys(good))
-    )
-    skills = store.replace(
-        "skills",
-        D.upsert_skills(tables["skills"], named, skill_category(F.col("skill"), entries), as_of),
-    )
-    store.replace(
-        "job_skills",
-        D.upsert_bridge(tables["job_skills"], D.bridge_rows(named, skills, hot.skills)),
-    )
-    store.replace(
-        "translation_cache",
-        D.remember_translations(
-            tables["translation_cache"],
-            D.text_uses(good, ["title_persian", "description_persian"]),
-            at,
-        ),
-    )
-    done = link(derived, companies, locations, hot)
-    done.write.mode("overwrite").parquet(f"{staging}/done")
-    done = store.spark.read.parquet(f"{staging}/done")
-    failed = bad.withColumn("processing_status", F.lit("failed"))
-    touched = checked.select("id")
-    rest = postings.join(touched, "id", "left_anti")
+    postings = store.read("job_postings")
+    rest = postings.join(job.checked.select("id"), "id", "left_anti")
     store.replace(
         "job_postings",
-        rest.unionByName(done.select(*postings.columns)).unionByName(
-            failed.select(*postings.columns)
+        rest.unionByName(job.postings.select(*postings.columns)).unionByName(
+            job.failed.select(*postings.columns)
         ),
     )
-    store.append(
-        "processing_logs",
-        failure_log(
-            bad.select("id", F.array_join("violations", ", ").alias("error")), process_id, at
-        ),
-    )
-    counters = enrichment_counters(done.unionByName(failed, allowMissingColumns=True))
+    store.append("processing_logs", failure_log(job.failed.select("id", "error"), process_id, at))
+    counters = staged(job.counters, "counters")
     row = counters.first()
-    status = "completed" if row["failed"] == 0 else "warning"
-    label = "completed" if row["failed"] == 0 else "completed_with_errors"
-    store.append(
-        "processing_logs",
-        log_event(
-            store.spark, "processing", process_id, status,
-            f"Processor batch finished with status={label}", at,
-            row["processed"], row["failed"], counters.toJSON().first(),
-        ),
+    clean = row["failed"] == 0
+    log(
+        "completed" if clean else "warning",
+        f"Processor batch finished with status={'completed' if clean else 'completed_with_errors'}",
+        processed=row["processed"],
+        failed=row["failed"],
+        details=counters.toJSON().first(),
     )
     return counters
-
-
-__all__ = ["Enriched", "Hot", "derive", "enrich", "find_hot", "link", "run_enrichment", "translate"]

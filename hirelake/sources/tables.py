@@ -33,6 +33,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, for several later jobs.
+
+    The copy is a reliable checkpoint: it survives lost executors.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark

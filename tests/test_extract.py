@@ -95,8 +95,19 @@ def test_listing_links_and_page_classes(spark):
 def test_deep_nesting_and_unclosed(spark):
     deep = "<div class='t'>" + "<div>a" * 500 + "</div>" * 500 + "</div>tail"
     row = spark.createDataFrame([(deep, "<div class='t'>open <b>end")], "a string, b string").select(
-        H.element_text(F.col("a"), "div", ["t"]).alias("a"),
-        H.element_text(F.col("b"), "div", ["t"]).alias("b"),
-        H.element_text(F.col("b"), "h1").alias("c"),
+        H.element(F.col("a"), "div", ["t"]).alias("a"),
+        H.element(F.col("b"), "div", ["t"]).alias("b"),
+        H.element(F.col("b"), "h1").alias("c"),
     ).first()
     assert row.a == "a" * 500 and row.b == "open end" and row.c is None
+
+
+def test_character_references(spark):
+    import html
+
+    texts = ["a &amp; b", "&lt;p&gt;&nbsp;x", "&#1606;&#x646;&#128512;", "plain", "AT&T &zzz; & x",
+             "می&zwnj;شود &raquo;", "&amp;lt;", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", H.unescape(F.col("t")).alias("u")).collect()
+    for r in rows:
+        assert r.u == (None if r.t is None else html.unescape(r.t)), r

@@ -586,7 +586,7 @@ def _enriched(spark, d):
     ]
     names = ["companies", "locations", "skills", "job_skills", "translation_cache"]
     empty = {n: spark.createDataFrame([], Sc.SCHEMAS[n]) for n in names}
-    return E.enrich(rows.select("*", *missing), empty, ENTRIES, W.AS_OF, W.RUN_AT)
+    return E.Enriched(rows.select("*", *missing), empty, ENTRIES, W.AS_OF, W.RUN_AT)
 
 
 @query("enriched_postings", ENRICHED)

@@ -257,11 +257,10 @@ def page_fields(spark, d):
     html = F.col("html")
     return W.table(spark, d, "pages").select(
         "page_id",
-        H.element_attribute(html, "lang", "html").alias("lang"),
-        H.element_text(html, "title").alias("title"),
-        H.element_text(html, "h1").alias("heading"),
+        H.attribute_of(H.opening(html, "html"), "lang").alias("lang"),
+        H.clean_all([H.element(html, "title"), H.element(html, "h1")]).alias("t"),
         F.size(H.sections(html, H.open_tag("p"))).cast("bigint").alias("paragraphs"),
-    )
+    ).select("page_id", "lang", F.get("t", F.lit(0)).alias("title"), F.get("t", F.lit(1)).alias("heading"), "paragraphs")
 
 
 @query("page_class", r"""
