@@ -40,32 +40,33 @@ def open_tag(
 
 
 def after(html: Column, opening: str) -> Column:
-    """Text behind the first match of ``opening``; null without a match."""
-    return F.get(F.split(html, f"(?is){opening}", 2), F.lit(1))
+    """The first match of ``opening`` and all text behind it; null without a match."""
+    return blank_to_null(F.regexp_extract(html, rf"(?is){opening}.*\z", 0))
 
 
-def inner_html(rest: Column, tag: str) -> Column:
-    """Content of an element whose opening tag was just passed.
+def inner_html(found: Column, tag: str) -> Column:
+    """The element whose opening tag starts ``found``, up to its closing tag.
 
     Counts opening and closing tags so that nested elements of the same tag stay
     inside.  An element that is never closed runs to the end of the text.
     """
     if tag in _FLAT:
-        return F.get(F.split(rest, rf"(?i)</{tag}\b", 2), F.lit(0))
-    pieces = F.split(rest, rf"(?i)(?=</?{re.escape(tag)}\b)")
+        return F.regexp_extract(found, rf"(?is)^.*?(?=</{tag}\b|\z)", 0)
+    pieces = F.split(found, rf"(?i)(?=</?{re.escape(tag)}\b)")
 
     def depth_after(state: Column, piece: Column) -> Column:
         closing = F.when(piece.startswith("</"), -1)
         step = closing.when(F.regexp_like(piece, F.lit(rf"(?i)^<{tag}\b")), 1).otherwise(0)
         return F.when(
-            state["depth"] > 0,
+            state["open"],
             F.struct(
                 (state["depth"] + step).alias("depth"),
                 (state["n"] + F.when(state["depth"] + step > 0, 1).otherwise(0)).alias("n"),
+                (state["depth"] + step > 0).alias("open"),
             ),
         ).otherwise(state)
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(True).alias("open"))
 
     def cut(ps: Column) -> Column:
         return F.array_join(F.slice(ps, F.lit(1), F.aggregate(ps, start, depth_after)["n"]), "")
@@ -151,9 +152,22 @@ def sections(html: Column, start: str) -> Column:
 
 
 def blocks(html: Column, tag: str, classes: Sequence[str] = ()) -> Column:
-    """Contents of every matching element, in page order."""
-    start = open_tag(tag, classes)
-    return F.transform(sections(html, start), lambda p: inner_html(after(p, start), tag))
+    """Every matching element, in page order.
+
+    A section ends where the next match starts; an element still open there
+    contains that match, and is read from the rest of the page instead.
+    """
+    def whole(parts: Column) -> Column:
+        def block(part: Column, i: Column) -> Column:
+            left_open = F.regexp_count(part, F.lit(rf"(?i)<{tag}\b")) > F.regexp_count(
+                part, F.lit(rf"(?i)</{tag}\b")
+            )
+            tail = F.array_join(F.slice(parts, i + 1, F.size(parts)), "")
+            return inner_html(F.when(left_open, tail).otherwise(part), tag)
+
+        return F.transform(parts, block)
+
+    return let(sections(html, open_tag(tag, classes)), whole)
 
 
 def headed(html: Column, tag: str) -> Column:
@@ -161,13 +175,12 @@ def headed(html: Column, tag: str) -> Column:
 
     ``rest`` ends in front of the next heading of the same tag.
     """
+    end = rf"</{tag}\s*>"
+
     def split_head(part: Column) -> Column:
-        return let(
-            F.split(part, rf"(?i)</{tag}\s*>", 2),
-            lambda halves: F.struct(
-                markup_text(F.get(halves, F.lit(0))).alias("head"),
-                F.get(halves, F.lit(1)).alias("rest"),
-            ),
+        return F.struct(
+            markup_text(F.regexp_extract(part, rf"(?is)^.*?(?={end}|\z)", 0)).alias("head"),
+            F.regexp_extract(part, rf"(?is){end}(.*)\z", 1).alias("rest"),
         )
 
     return F.transform(sections(html, rf"<{tag}\b[^>]*>"), split_head)
@@ -179,8 +192,7 @@ def under(heads: Column, heading: str) -> Column:
 
 
 def sibling(rest: Column, tag: str, classes: Sequence[str] = ()) -> Column:
-    """Text of the element directly behind; null when another element follows."""
-    lead = F.regexp_replace(rest, r"(?s)^(?:[^<]|<!--.*?-->)*+", "")
-    start = open_tag(tag, classes)
-    content = F.get(F.split(lead, f"(?is)^{start}", 2), F.lit(1))
-    return markup_text(inner_html(content, tag))
+    """The element directly behind; null when another element follows."""
+    lead = r"^(?:[^<]|<!--.*?-->)*+"
+    found = F.regexp_extract(rest, rf"(?is){lead}({open_tag(tag, classes)}.*)\z", 1)
+    return inner_html(blank_to_null(found), tag)

@@ -143,7 +143,7 @@ def _a_texts(heads: SiteHeadings) -> dict[str, Column]:
 
     def level(block: Column) -> Column:
         rest = H.under(H.headed(block, "p"), heads.seniority)
-        return H.element(H.inner_html(H.after(rest, r"^[^<]*<ul\b[^>]*>"), "ul"), "a")
+        return H.element(H.sibling(rest, "ul"), "a")
 
     return {
         "title": H.element(
@@ -213,8 +213,8 @@ def _b_texts(heads: SiteHeadings) -> dict[str, Column]:
         "company": H.element(html, "h2", ["c-companyHeader__name"]),
         "company_url": H.attribute_of(F.col("p_logo"), "href"),
         "location": first(heads.location),
-        "description": H.sibling(
-            H.under(F.col("p_heads"), heads.description_b), "div", ["o-box__text"]
+        "description": H.markup_text(
+            H.sibling(H.under(F.col("p_heads"), heads.description_b), "div", ["o-box__text"])
         ),
         "employment": first(heads.cooperation),
         "experience": first(heads.experience),
@@ -250,7 +250,9 @@ def _c_texts(heads: SiteHeadings) -> dict[str, Column]:
         "company": H.element(html, "a", _COMPANY_C),
         "company_url": H.attribute_of(F.col("p_company"), "href"),
         "location": H.element(html, "span", ["text-muted", "font-size-6"]),
-        "description": H.sibling(H.under(F.col("p_heads"), heads.description_c), "div"),
+        "description": H.markup_text(
+            H.sibling(H.under(F.col("p_heads"), heads.description_c), "div")
+        ),
         "gender": H.element(html, "div", ["requirement-value", "text-black", "bg-light"]),
     }
 

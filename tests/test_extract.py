@@ -111,3 +111,10 @@ def test_character_references(spark):
         "t", H.unescape(F.col("t")).alias("u")).collect()
     for r in rows:
         assert r.u == (None if r.t is None else html.unescape(r.t)), r
+
+
+def test_blocks_inside_blocks(spark):
+    page = "<div class='k'>a<div class='k'>b</div>c</div>x<div class='k z'>d</div>y"
+    row = spark.createDataFrame([(page,)], "p string").select(
+        F.transform(H.blocks(F.col("p"), "div", ["k"]), H.markup_text).alias("b")).first()
+    assert row.b == ["abc", "b", "d"]
