@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import error_text
@@ -25,16 +25,13 @@ def export_json(df: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def export_each(df: DataFrame, path: str, key: str) -> None:
-    """One folder per posting, named by its external id (``job_<row>`` without one).
+    """One folder per posting, named by its external id.
 
-    Rows are spread by key first, so a task opens only its own folders.
+    Without one the name is ``job_`` and the hash of the URL.  Rows are spread by
+    name first, so a task opens only its own folders.
     """
-    order = Window.partitionBy(F.spark_partition_id()).orderBy("source_url")
-    local = F.concat_ws(
-        "_", F.lit("job"), F.spark_partition_id().cast("string"),
-        F.row_number().over(order).cast("string"),
-    )
-    named = df.withColumn("file", F.coalesce(F.nullif(F.col(key), F.lit("")), local))
+    unnamed = F.concat(F.lit("job_"), F.sha2("source_url", 256))
+    named = df.withColumn("file", F.coalesce(F.nullif(F.col(key), F.lit("")), unnamed))
     named.repartition("file").write.mode("overwrite").partitionBy("file").json(path)
 
 

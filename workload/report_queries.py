@@ -148,10 +148,10 @@ def dashboard_load(spark, d):
 
 
 SEARCH = R.Search(
-    choice="all", text="urgent", company="00_", location="an", active_only=True, site="irantalent"
+    choice="all", text="urgent", company="00_", location="_1", active_only=True, site="irantalent"
 )
 SEARCH_SQL = f"""source_site = 'irantalent' AND is_active AND company_name_raw ILIKE '%00_%'
-  AND location_raw ILIKE '%an%' AND (title_persian ILIKE '%urgent%' OR title_english ILIKE '%urgent%'
+  AND location_raw ILIKE '%_1%' AND (title_persian ILIKE '%urgent%' OR title_english ILIKE '%urgent%'
   OR description_persian ILIKE '%urgent%' OR description_english ILIKE '%urgent%')"""
 LISTED = ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" if c.endswith("_date") else c for c in R.LISTING_COLUMNS

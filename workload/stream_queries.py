@@ -76,22 +76,28 @@ def stream_first_last(spark, d):
     return dates_as_text(store.read("job_tracking").select(*_TRACK_COLUMNS))
 
 
-@query("stream_unique")
+@query("stream_unique", f"SELECT DISTINCT scrape_session_id, job_url FROM ({S.DISCOVERIES})")
 def stream_unique(spark, d):
-    """Rows only: which of several equal rows arrives first is open."""
     out = _finish(I.unique_discoveries(_found(spark, d), "40 days"), spark, "unique")
     return out.select("scrape_session_id", "job_url")
 
 
-@query("stream_daily")
+@query("stream_daily", f"""
+SELECT CAST(day AS VARCHAR) AS date, source_site, count(*) AS count FROM ({S.DISCOVERIES})
+WHERE day + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
 def stream_daily(spark, d):
-    """Closed days only: the last day stays open behind the watermark."""
+    """Closed days only: days behind the watermark."""
     out = _finish(I.daily_counts(_found(spark, d)), spark, "daily")
     return out.select(F.to_date("day").cast("string").alias("date"), "source_site", "count")
 
 
-@query("stream_rates")
+@query("stream_rates", f"""
+SELECT w AS window_start_us, source_site, count(*) AS requests
+FROM (SELECT source_site, unnest([epoch_us(ts) // 10000000 * 10000000 - k * 10000000 FOR k IN [0, 1, 2, 3, 4, 5]]) AS w
+  FROM ({S.DISCOVERIES}))
+WHERE w + 60000000 <= (SELECT epoch_us(max(ts)) FROM events) - 120000000 GROUP BY 1, 2""")
 def stream_rates(spark, d):
+    """Closed windows only."""
     out = _finish(I.request_rates(_found(spark, d)), spark, "rates")
     return out.select(
         F.unix_micros("window_start").alias("window_start_us"), "source_site", "requests"
