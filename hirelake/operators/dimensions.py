@@ -11,23 +11,23 @@ from pyspark.sql import functions as F
 from hirelake.functions.text import canonical_company, location_key, strip, translation_key
 from hirelake.operators.ids import assign_ids, next_id
 from hirelake.operators.merge import add, insert_absent, keep, keyed_merge, larger, take
-from hirelake.operators.skew import lookup
+from hirelake.operators.skew import computed_once, lookup
 from hirelake.sources import values as V
+from hirelake.sources.tables import settled
 
 
 def company_keys(postings: DataFrame) -> DataFrame:
     """``(id, company_key, raw)`` of postings that name a company."""
-    raw = strip(F.col("company_name_raw"))
-    return postings.select(
-        "id", canonical_company(raw).alias("company_key"), raw.alias("raw")
-    ).where(F.col("company_key").isNotNull())
+    named = postings.select("id", strip(F.col("company_name_raw")).alias("raw"))
+    keyed = computed_once(named, company_key=canonical_company(F.col("raw")))
+    return keyed.where(F.col("company_key").isNotNull())
 
 
 def location_keys(postings: DataFrame) -> DataFrame:
-    raw = strip(F.col("location_raw"))
-    return postings.select(
-        "id", location_key(raw).alias("location_key"), raw.alias("raw")
-    ).where(F.col("location_key").isNotNull())
+    """``(id, location_key, raw)`` of postings that name a place."""
+    named = postings.select("id", strip(F.col("location_raw")).alias("raw"))
+    keyed = computed_once(named, location_key=location_key(F.col("raw")))
+    return keyed.where(F.col("location_key").isNotNull())
 
 
 def upsert_companies(companies: DataFrame, keys: DataFrame, as_of: date) -> DataFrame:
@@ -102,7 +102,11 @@ def upsert_skills(
 
 
 def _merge_dimension(table: DataFrame, batch: DataFrame, key: str, rules: dict) -> DataFrame:
-    """Merge known keys, number the new ones by first posting, append them."""
+    """Merge known keys, number the new ones by first posting, append them.
+
+    The batch is one narrow row per key; it is computed once for both halves.
+    """
+    batch = settled(batch)
     plain = batch.drop("_first_id")
     updated = table
     if rules:
@@ -156,9 +160,8 @@ def text_uses(postings: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     )
     uses = postings.select("id", F.explode(fields).alias("u")).select("id", "u.*")
-    return uses.where(F.col("source_text") != "").withColumn(
-        "source_text_hash", translation_key(F.col("source_text"))
-    )
+    filled = uses.where(F.col("source_text") != "")
+    return computed_once(filled, source_text_hash=translation_key(F.col("source_text")))
 
 
 def remember_translations(memory: DataFrame, uses: DataFrame, as_of: datetime) -> DataFrame:

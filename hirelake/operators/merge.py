@@ -78,12 +78,14 @@ def keyed_merge(
     keys: Sequence[str],
     rules: Mapping[str, Rule],
     small_batch: bool = False,
+    loose: DataFrame | None = None,
 ) -> DataFrame:
     """``stored`` with ``batch`` (one row per key) merged in.
 
     Columns without a rule keep the stored value; new keys are inserted as given,
     with null for columns the batch lacks.  Rows with a null in the key never
-    match: stored ones stay, batch ones are inserted, and neither is shuffled.
+    match: stored ones stay, batch ones are inserted, and neither is shuffled.  A
+    caller that has split them off already passes them as ``loose``.
 
     ``small_batch`` joins the batch to the table from the left and finds the new
     keys with an anti join on the key columns alone.  Spark may then broadcast the
@@ -93,7 +95,7 @@ def keyed_merge(
     keys = list(keys)
     columns = stored.columns
     old_rows, old_loose = split_null_keys(stored, keys)
-    new_rows, new_loose = split_null_keys(batch, keys)
+    new_rows, new_loose = (batch, loose) if loose is not None else split_null_keys(batch, keys)
     given = set(batch.columns)
 
     def inserted(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
@@ -54,6 +54,18 @@ def lookup(
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a barrier the optimiser does not push filters through.
+
+    A filter on a computed column is otherwise moved below the projection, where
+    the expression is evaluated a second time for every row.
+    """
+    for name, expression in columns.items():
+        kept = [c for c in df.columns if c != name]
+        df = df.select(*kept, F.explode(F.array(expression)).alias(name))
+    return df
+
+
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a complete key, and rows with a null in it (which match nothing)."""
     complete = F.lit(True)

@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.operators.merge import add, fill, fold, insert_absent, keyed_merge, take
-from hirelake.operators.skew import lookup
+from hirelake.operators.merge import fill, fold, insert_absent, keyed_merge, take
+from hirelake.operators.skew import lookup, split_null_keys
 from hirelake.sources import values as V
 
 
@@ -193,11 +193,10 @@ def upsert_postings(
     deactivation date.  Rows without an external id are always inserted.
     """
     keys = ["source_site", "external_id"]
-    complete = batch.where(F.col("source_site").isNotNull() & F.col("external_id").isNotNull())
-    loose = batch.where(F.col("source_site").isNull() | F.col("external_id").isNull())
-    folded = fold_postings(complete, order).unionByName(loose)
     extra = [c for c in order if c not in postings.columns]
-    ready = posting_defaults(folded.drop(*extra))
+    complete, loose = split_null_keys(batch, keys)
+    ready = posting_defaults(fold_postings(complete, order).drop(*extra))
+    unkeyed = posting_defaults(loose.drop(*extra))
     rules = {
         "last_seen_date": take,
         "is_active": lambda old, new: F.lit(True),
@@ -206,7 +205,7 @@ def upsert_postings(
         "company_name_raw": fill,
         "location_raw": fill,
     }
-    return keyed_merge(postings, ready, keys, rules, small_batch)
+    return keyed_merge(postings, ready, keys, rules, small_batch, unkeyed)
 
 
 def posting_defaults(batch: DataFrame) -> DataFrame:
@@ -225,10 +224,3 @@ def posting_defaults(batch: DataFrame) -> DataFrame:
     }
     return batch.withColumns(filled)
 
-
-__all__ = [
-    "add", "detail_worklist", "first_occurrences", "fold_postings", "last_success_page",
-    "mark_scraped", "new_discoveries", "posting_defaults", "profile_worklist", "seen_ratio",
-    "seen_urls", "track_companies", "track_urls", "update_progress", "upsert_postings",
-    "with_handler",
-]

@@ -26,7 +26,12 @@ class Discovery:
 def discover(
     listing_pages: DataFrame, log: DataFrame, tracking: DataFrame, session: str, as_of: date
 ) -> Discovery:
-    """Links of listing pages -> discovery rows to append, tracking, totals per site."""
+    """Links of listing pages -> discovery rows to append, tracking, totals per site.
+
+    Only the session's own part of the log can hold its URLs, so only that
+    partition is read.
+    """
+    log = log.where(F.col("scrape_session_id") == session)
     links = X.listing_links(listing_pages).select(
         F.lit(session).alias("scrape_session_id"),
         "job_url",
@@ -43,7 +48,7 @@ def discover(
     )
     return Discovery(
         log=K.new_discoveries(log, unique, order),
-        tracking=K.track_urls(tracking, found, order),
+        tracking=K.track_urls(tracking, found, order, small_batch=True),
         totals=discovered_by_site(unique),
     )
 
@@ -79,7 +84,7 @@ def collect_details(
     )
     return Details(
         pages=P.store_pages(readable, tables["raw_scrapes"]),
-        postings=K.upsert_postings(tables["job_postings"], found, ["seq"]),
+        postings=K.upsert_postings(tables["job_postings"], found, ["seq"], small_batch=True),
         tracking=K.mark_scraped(tables["job_tracking"], attempts, as_of),
         companies=K.track_companies(tables["company_tracking"], companies, ["seq"]),
         attempts=attempts,

@@ -27,7 +27,7 @@ from hirelake.functions.skills import (
 from hirelake.functions.text import normalized_title, salary, strip
 from hirelake.operators import dimensions as D
 from hirelake.operators.metrics import enrichment_counters
-from hirelake.operators.skew import hot_keys
+from hirelake.operators.skew import computed_once, hot_keys
 from hirelake.plans.reports import pending_batch
 from hirelake.sources.exports import failure_log, log_event
 from hirelake.sources.schemas import rules, with_violations
@@ -65,31 +65,29 @@ def derive(translated: DataFrame, entries: Iterable[SkillEntry]) -> DataFrame:
         ),
         entries,
     )
-    return (
-        translated.withColumns(
-            {
-                "title_normalized": normalized_title(
-                    F.col("title_english"), strip(F.coalesce("title_persian", F.lit("")))
-                ),
-                "employment_type": known_or_kept(
-                    employment_type(strip(F.col("employment_type"))), F.col("employment_type")
-                ),
-                "experience_level": known_or_kept(
-                    experience_level(strip(F.col("experience_level"))), F.col("experience_level")
-                ),
-                "_pay": pay,
-                "skills": union_skills(found, F.col("skills_required")),
-            }
-        )
-        .withColumns(
-            {
-                "salary_min_original": F.coalesce("_pay.min", "salary_min_original"),
-                "salary_max_original": F.coalesce("_pay.max", "salary_max_original"),
-                "technologies_mentioned": F.when(F.size("skills") > 0, F.col("skills")),
-            }
-        )
-        .drop("_pay")
+    labelled = translated.withColumns(
+        {
+            "title_normalized": normalized_title(
+                F.col("title_english"), strip(F.coalesce("title_persian", F.lit("")))
+            ),
+            "employment_type": known_or_kept(
+                employment_type(strip(F.col("employment_type"))), F.col("employment_type")
+            ),
+            "experience_level": known_or_kept(
+                experience_level(strip(F.col("experience_level"))), F.col("experience_level")
+            ),
+        }
+    )
+    costly = computed_once(
+        labelled, skills=union_skills(found, F.col("skills_required")), _pay=pay
     )
+    return costly.withColumns(
+        {
+            "salary_min_original": F.coalesce("_pay.min", "salary_min_original"),
+            "salary_max_original": F.coalesce("_pay.max", "salary_max_original"),
+            "technologies_mentioned": F.when(F.size("skills") > 0, F.col("skills")),
+        }
+    ).drop("_pay")
 
 
 def link(

@@ -62,12 +62,11 @@ def session_summary(
     limit_jobs: int | None = None,
 ) -> DataFrame:
     """One row describing a run: both phases, limits and duration."""
-    one = F.lit(1).alias("_one")
     found = discoveries.agg(
         F.count("job_url").alias("total_discovered"),
         F.count_distinct("job_url").alias("unique_discovered"),
         F.count_distinct("found_on_page").alias("pages_scraped"),
-    ).select(F.struct("*").alias("phase_1_discovery"), one)
+    ).select(F.struct("*").alias("phase_1_discovery"))
     tried = attempts.agg(
         F.count("*").alias("total_attempted"),
         F.count_if(F.col("success")).alias("successful"),
@@ -76,17 +75,15 @@ def session_summary(
     rate = F.when(
         F.col("total_attempted") > 0, F.col("successful") / F.col("total_attempted") * 100
     ).otherwise(0.0)
-    details = tried.withColumn("success_rate", rate).select(
-        F.struct("*").alias("phase_2_detail_scraping"), one
-    )
-    return found.join(details, "_one").select(
+    details = tried.withColumn("success_rate", rate).select(F.struct("*"))
+    return found.select(
         F.lit(session_id).alias("session_id"),
         F.lit(scraper).alias("scraper"),
         F.lit(start.isoformat()).alias("start_time"),
         F.lit(end.isoformat()).alias("end_time"),
         F.lit((end - start).total_seconds()).alias("duration_seconds"),
         "phase_1_discovery",
-        "phase_2_detail_scraping",
+        details.scalar().alias("phase_2_detail_scraping"),
         F.struct(
             F.lit(limit_pages).cast("int").alias("limit_pages"),
             F.lit(limit_jobs).cast("int").alias("limit_jobs"),
