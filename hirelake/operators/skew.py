@@ -58,7 +58,8 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns behind a barrier the optimiser does not push filters through.
 
     A filter on a computed column is otherwise moved below the projection, where
-    the expression is evaluated a second time for every row.
+    the expression is evaluated a second time for every row.  The price: a column
+    behind the barrier is computed even where a query does not use it.
     """
     for name, expression in columns.items():
         kept = [c for c in df.columns if c != name]

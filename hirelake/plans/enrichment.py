@@ -91,18 +91,24 @@ def derive(translated: DataFrame, entries: Iterable[SkillEntry]) -> DataFrame:
 
 
 def link(
-    derived: DataFrame, companies: DataFrame, locations: DataFrame, hot: Hot = Hot()
+    derived: DataFrame,
+    source: DataFrame,
+    companies: DataFrame,
+    locations: DataFrame,
+    hot: Hot = Hot(),
 ) -> DataFrame:
     """Attach dimension ids and the final status.
 
-    Both id columns are resolved on narrow rows and joined back together.
+    Both id columns are resolved on narrow rows of ``source`` (the postings before
+    enrichment, so that nothing costly is computed for them) and joined back
+    together.
     """
     company = D.resolve(
-        D.company_keys(derived), companies, "company_key", "canonical_name", "company_id",
+        D.company_keys(source), companies, "company_key", "canonical_name", "company_id",
         hot.companies,
     )
     location = D.resolve(
-        D.location_keys(derived), locations, "location_key", "location_normalized",
+        D.location_keys(source), locations, "location_key", "location_normalized",
         "location_id", hot.locations,
     )
     ids = company.join(location, "id", "full_outer")
@@ -177,7 +183,7 @@ class Enriched:
 
     @cached_property
     def postings(self) -> DataFrame:
-        return link(self.derived, self.companies, self.locations, self.hot)
+        return link(self.derived, self.good, self.companies, self.locations, self.hot)
 
     @cached_property
     def counters(self) -> DataFrame:
