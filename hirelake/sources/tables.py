@@ -33,6 +33,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan with fewer splits than cores, spread over the cores.
+
+    For CPU-heavy work on a small file.  A table of many files has splits enough
+    and comes back unchanged, without a shuffle.  Only for plain scans: asking
+    another plan for its partitions may run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, for several later jobs.
 

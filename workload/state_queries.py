@@ -332,7 +332,7 @@ COMPANY_KEYS = f"""SELECT o_orderkey AS id, {S.canonical("raw")} AS key, {S.stri
 
 def _named_postings(spark, d):
     raw = F.concat(F.lit(" شرکت "), F.col("company_name_raw"), F.lit(" & Co., Ltd. "))
-    return W.postings(spark, d).withColumn("company_name_raw", raw)
+    return W.postings(spark, d, costly=True).withColumn("company_name_raw", raw)
 
 
 def _known_companies(spark, d):
@@ -412,7 +412,7 @@ FROM (SELECT skill, min(id) AS first_id FROM ({MENTIONS}) GROUP BY 1)"""
 
 def _mentions(spark, d):
     found = K.match_skills(F.col("text"), ENTRIES)
-    return W.table(spark, d, "documents").select(
+    return W.texts(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.explode(found).alias("skill")
     )
 
@@ -440,7 +440,7 @@ FULL JOIN (SELECT doc_id AS job_posting_id, 1 AS skill_id, CASE WHEN doc_id % 2
   FROM documents) s ON s.job_posting_id = n.job_posting_id AND s.skill_id = n.skill_id""")
 def skill_bridge(spark, d):
     rows = D.bridge_rows(_mentions(spark, d), _skills(spark, d), hot=["Ening"])
-    stored = W.table(spark, d, "documents").select(
+    stored = W.texts(spark, d, "documents").select(
         F.col("doc_id").alias("job_posting_id"), F.lit(1).alias("skill_id"),
         F.lit("mentioned").alias("requirement_type"), F.lit("unknown").alias("proficiency_level"),
         F.when(F.col("doc_id") % 2 == 0, 0.9).otherwise(0.1).alias("confidence_score"),
@@ -462,7 +462,7 @@ FROM u LEFT JOIN s ON s.h = u.h GROUP BY 1"""
 
 
 def _texts(spark, d):
-    return W.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return W.texts(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def _memory(spark, d):

@@ -26,7 +26,7 @@ SELECT doc_id, sha256({S.normalize('text')}) AS normalized_hash,
   length({S.normalize('text')}) AS normalized_chars FROM documents""")
 def normalize_text(spark, d):
     clean = T.normalize(F.col("text"))
-    return W.table(spark, d, "documents").select("doc_id", clean.alias("n")).select(
+    return W.texts(spark, d, "documents").select("doc_id", clean.alias("n")).select(
         "doc_id", T.content_hash(F.col("n")).alias("normalized_hash"),
         F.length("n").cast("bigint").alias("normalized_chars"),
     )
@@ -37,7 +37,7 @@ SELECT page_id, nullif({S.normalize("regexp_extract(html, '<title>(.*?)</title>'
 FROM pages""")
 def normalize_titles(spark, d):
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    return W.table(spark, d, "pages").select(
+    return W.texts(spark, d, "pages").select(
         "page_id", T.normalized_title(F.lit(None).cast("string"), title).alias("title")
     )
 
@@ -108,13 +108,13 @@ def gender_rules(spark, d):
 SELECT doc_id, array_to_string({S.skills('text')}, '|') AS skills FROM documents""")
 def skill_match(spark, d):
     found = K.match_skills(F.col("text"), ENTRIES)
-    return W.table(spark, d, "documents").select("doc_id", F.array_join(found, "|").alias("skills"))
+    return W.texts(spark, d, "documents").select("doc_id", F.array_join(found, "|").alias("skills"))
 
 
 @query("skill_match_large", f"""
 SELECT doc_id, array_to_string({S.skills('text')}, '|') AS skills FROM documents""")
 def skill_match_large(spark, d):
-    docs = W.table(spark, d, "documents")
+    docs = W.texts(spark, d, "documents")
     found = K.match_large(docs, "doc_id", "text", K.dictionary_frame(spark, ENTRIES))
     return found.select("doc_id", F.array_join("skills", "|").alias("skills"))
 
@@ -128,7 +128,7 @@ SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat({S.skills('te
   CASE WHEN doc_id % 5 > 1 THEN [source, 'Thing', lang] ELSE [] END))), '|') AS skills
 FROM documents""")
 def skill_union(spark, d):
-    docs = W.table(spark, d, "documents")
+    docs = W.texts(spark, d, "documents")
     tags = (
         F.when(F.col("doc_id") % 5 == 0, "{oops")
         .when(F.col("doc_id") % 5 == 1, F.lit(None).cast("string"))
@@ -144,7 +144,7 @@ def skill_union(spark, d):
 @query("topic_filter", f"""
 SELECT doc_id FROM documents WHERE {" OR ".join(f"contains(lower(text), {S.text(k)})" for k in W.TOPIC)}""")
 def topic_filter(spark, d):
-    docs = W.table(spark, d, "documents")
+    docs = W.texts(spark, d, "documents")
     return docs.where(T.on_topic(F.col("text"), W.TOPIC)).select("doc_id")
 
 
@@ -169,7 +169,7 @@ def keyword_list(spark, d):
 @query("external_id", """
 SELECT page_id, regexp_extract(url, '[^/]*$') AS external_id FROM pages""")
 def external_id(spark, d):
-    return W.table(spark, d, "pages").select("page_id", U.last_segment(F.col("url")).alias("external_id"))
+    return W.texts(spark, d, "pages").select("page_id", U.last_segment(F.col("url")).alias("external_id"))
 
 
 @query("set_page_param", r"""
@@ -179,7 +179,7 @@ SELECT page_id, base || '?' || CASE WHEN q = '' THEN 'page=7'
 FROM (SELECT page_id, regexp_extract(url, '^[^?#]*') AS base,
   regexp_extract(url, '\?([^#]*)', 1) AS q, regexp_extract(url, '#.+$') AS frag FROM pages)""")
 def set_page_param(spark, d):
-    return W.table(spark, d, "pages").select("page_id", U.set_page(F.col("url"), F.lit(7)).alias("url"))
+    return W.texts(spark, d, "pages").select("page_id", U.set_page(F.col("url"), F.lit(7)).alias("url"))
 
 
 @query("absolute_links", f"""
@@ -187,7 +187,7 @@ SELECT page_id, href, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https:
   CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://jobvision.ir' || href END AS joined
 FROM (SELECT page_id, unnest(regexp_extract_all(html, '{LINKS}', 1)) AS href FROM pages)""")
 def absolute_links(spark, d):
-    links = X.page_links(W.table(spark, d, "pages"))
+    links = X.page_links(W.texts(spark, d, "pages"))
     return links.select(
         "page_id", "href",
         U.prefix(V.SITE_BASE_URLS["jobinja"], F.col("href")).alias("prefixed"),
@@ -243,7 +243,7 @@ SELECT page_id, position - 1 AS position, href FROM (
   SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS position
   FROM (SELECT page_id, regexp_extract_all(html, '{LINKS}', 1) AS l FROM pages))""")
 def page_links(spark, d):
-    links = X.page_links(W.table(spark, d, "pages"))
+    links = X.page_links(W.texts(spark, d, "pages"))
     return links.select("page_id", F.col("position").cast("bigint").alias("position"), "href")
 
 
@@ -255,7 +255,7 @@ SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
 FROM pages""")
 def page_fields(spark, d):
     html = F.col("html")
-    return W.table(spark, d, "pages").select(
+    return W.texts(spark, d, "pages").select(
         "page_id",
         H.attribute_of(H.opening(html, "html"), "lang").alias("lang"),
         H.clean_all([H.element(html, "title"), H.element(html, "h1")]).alias("t"),
@@ -275,7 +275,7 @@ def page_class(spark, d):
     def empty(site):
         return X.has_no_results(F.lit(site), html, texts)
 
-    return W.table(spark, d, "pages").select(
+    return W.texts(spark, d, "pages").select(
         "page_id",
         X.is_challenge(html, ["track(", "spam"]).alias("challenge"),
         empty("irantalent").alias("empty_a"),
@@ -289,7 +289,8 @@ def page_class(spark, d):
 
 def _site_pages(spark, d):
     """Detail pages in the layout of each site, from the postings view."""
-    p = W.postings(spark, d)
+    p = W.postings(spark, d, costly=True)
+
     def cat(*parts):
         return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
     title, name, place = F.col("title_persian"), F.col("company_name_raw"), F.col("location_raw")

@@ -11,6 +11,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.sources.tables import spread
+
 AS_OF = date(2001, 8, 1)
 RUN_AT = datetime(2001, 8, 1, 2, 0, 0)
 EVENT_DAY = date(2024, 1, 31)
@@ -21,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take much CPU each."""
+    return spread(table(spark, sf_dir, name))
+
+
 def site_of(n: Column) -> Column:
     """One of the three sites by number."""
     return (
@@ -30,9 +37,11 @@ def site_of(n: Column) -> Column:
     )
 
 
-def postings(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
+def postings(
+    spark: SparkSession, sf_dir: str, names: bool = True, costly: bool = False
+) -> DataFrame:
     """Orders as postings; ``names`` joins company, segment and nation."""
-    o = table(spark, sf_dir, "orders")
+    o = (texts if costly else table)(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     day = F.to_date("o_orderdate")
     status = F.col("o_orderstatus")
@@ -170,7 +179,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as fetched pages."""
     d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         d.alias("id"),
         site_of(d).alias("source_site"),
         F.concat(F.lit("https://board.example/p/"), d.cast("string")).alias("source_url"),
@@ -245,7 +254,7 @@ def document_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.when(d % 3 == 0, F.array(F.col("lang"), F.lit("Thing"), F.lit(None)))
     employment = F.get(F.array(*[F.lit(x) for x in EMPLOYMENT]), (d % len(EMPLOYMENT)).cast("int"))
     experience = F.get(F.array(*[F.lit(x) for x in EXPERIENCE]), (d % len(EXPERIENCE)).cast("int"))
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         d.alias("id"),
         F.when(d % 50 == 49, F.lit("elsewhere")).otherwise(site_of(d)).alias("source_site"),
         F.concat(F.lit("https://board.example/jobs/"), d.cast("string")).alias("source_url"),
