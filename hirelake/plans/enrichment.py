@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from hirelake.functions.labels import employment_type, experience_level, known_or_kept
 from hirelake.functions.skills import (
     SkillEntry,
+    load_dictionary,
+    match_large,
     match_skills,
     searchable,
     skill_category,
@@ -52,19 +54,36 @@ def translate(postings: DataFrame, memory: DataFrame, hot: Hot = Hot()) -> DataF
     return D.translated(postings.drop(*columns.values()), hits, columns)
 
 
-def derive(translated: DataFrame, entries: Iterable[SkillEntry]) -> DataFrame:
-    """Row-local enrichment: title, labels, salary and skills, no shuffle."""
-    entries = list(entries)
+Dictionary = list[SkillEntry] | DataFrame
+
+
+def usable(dictionary: Iterable[SkillEntry] | DataFrame) -> Dictionary:
+    """A dictionary table as entries where it is small enough for the plan."""
+    if not isinstance(dictionary, DataFrame):
+        return list(dictionary)
+    loaded = load_dictionary(dictionary)
+    return dictionary if loaded is None else loaded
+
+
+def derive(translated: DataFrame, dictionary: Dictionary) -> DataFrame:
+    """Title, labels, salary and skills of each posting.
+
+    Row-local, without a shuffle, unless the dictionary is too large for the plan.
+    """
     pay = salary(F.col("salary_min_original"), strip(F.col("description_persian")))
-    found = match_skills(
-        searchable(
-            strip(F.col("title_persian")),
-            strip(F.col("description_persian")),
-            F.col("title_english"),
-            F.col("description_english"),
-        ),
-        entries,
+    text = searchable(
+        strip(F.col("title_persian")),
+        strip(F.col("description_persian")),
+        F.col("title_english"),
+        F.col("description_english"),
     )
+    if isinstance(dictionary, DataFrame):
+        docs = translated.select("id", text.alias("_text"))
+        hits = match_large(docs, "id", "_text", dictionary)
+        translated = translated.join(hits.withColumnRenamed("skills", "_found"), "id", "left")
+        found = F.col("_found")
+    else:
+        found = match_skills(text, dictionary)
     labelled = translated.withColumns(
         {
             "title_normalized": normalized_title(
@@ -87,7 +106,7 @@ def derive(translated: DataFrame, entries: Iterable[SkillEntry]) -> DataFrame:
             "salary_max_original": F.coalesce("_pay.max", "salary_max_original"),
             "technologies_mentioned": F.when(F.size("skills") > 0, F.col("skills")),
         }
-    ).drop("_pay")
+    ).drop("_pay", "_found")
 
 
 def link(
@@ -128,7 +147,7 @@ class Enriched:
 
     pending: DataFrame
     tables: dict[str, DataFrame]
-    entries: list[SkillEntry]
+    dictionary: Dictionary
     as_of: date
     at: datetime
     hot: Hot = field(default_factory=Hot)
@@ -152,7 +171,7 @@ class Enriched:
 
     @cached_property
     def derived(self) -> DataFrame:
-        return derive(translate(self.good, self.tables["translation_cache"], self.hot), self.entries)
+        return derive(translate(self.good, self.tables["translation_cache"], self.hot), self.dictionary)
 
     @cached_property
     def mentions(self) -> DataFrame:
@@ -168,7 +187,10 @@ class Enriched:
 
     @cached_property
     def skills(self) -> DataFrame:
-        category = skill_category(F.col("skill"), self.entries)
+        if isinstance(self.dictionary, DataFrame):
+            category = self.dictionary.select("skill", "category")
+        else:
+            category = skill_category(F.col("skill"), self.dictionary)
         return D.upsert_skills(self.tables["skills"], self.mentions, category, self.as_of)
 
     @cached_property
@@ -208,7 +230,7 @@ def find_hot(batch: DataFrame) -> Hot:
 
 def run_enrichment(
     store: TableStore,
-    entries: Iterable[SkillEntry],
+    dictionary: Iterable[SkillEntry] | DataFrame,
     as_of: date,
     at: datetime,
     batch_size: int | None = None,
@@ -235,7 +257,7 @@ def run_enrichment(
         row = log_event(store.spark, "processing", process_id, status, message, at, **more)
         store.append("processing_logs", row)
 
-    job = Enriched(pending, {n: store.read(n) for n in names}, list(entries), as_of, at)
+    job = Enriched(pending, {n: store.read(n) for n in names}, usable(dictionary), as_of, at)
     job.checked = staged(job.checked, "checked")
     log("started", f"Starting processor batch of {job.checked.count()} jobs")
     job.hot = find_hot(job.good)

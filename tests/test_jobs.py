@@ -171,3 +171,18 @@ def test_plan_shapes(spark, tmp_path):
     assert "description_persian" not in stats
     page = plan(reports.posting_page(reports.search_postings(p, reports.Search(), DAY), 2))
     assert "TakeOrderedAndProject" in page
+
+
+def test_large_dictionary_enriches_alike(spark, sf_dir):
+    from hirelake.functions.skills import dictionary_frame
+    from hirelake.plans.enrichment import Enriched, usable
+    from workload.state_queries import ENTRIES, _enriched
+
+    table = dictionary_frame(spark, ENTRIES)
+    assert isinstance(usable(table), list)
+    small = _enriched(spark, sf_dir)
+    large = Enriched(small.pending, small.tables, table, small.as_of, small.at)
+    rows = lambda job: {r.id: r.skills for r in job.derived.select("id", "skills").collect()}
+    assert rows(small) == rows(large)
+    names = lambda job: {(r.skill_name_english, r.skill_category) for r in job.skills.collect()}
+    assert names(small) == names(large)
