@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from hirelake.llm import line_dedup
+from hirelake.llm import decontaminate, line_dedup, simhash
 
-QUERIES = {"op4_line_dedup": line_dedup.op4_line_dedup}
-ORACLES = {"op4_line_dedup": line_dedup.OP4_SQL}
+QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op7_simhash": simhash.op7_simhash,
+}
+ORACLES = {
+    "op2_decontaminate": decontaminate.OP2_SQL,
+    "op4_line_dedup": line_dedup.OP4_SQL,
+}
