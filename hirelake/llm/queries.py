@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from hirelake.llm import decontaminate, line_dedup, simhash
+from hirelake.llm import bpe, decontaminate, line_dedup, simhash
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op7_simhash": simhash.op7_simhash,
