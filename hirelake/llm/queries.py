@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hirelake.llm import bpe, decontaminate, line_dedup, simhash
+from hirelake.llm import bpe, decontaminate, kn_quality, line_dedup, simhash
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_quality": kn_quality.op3_quality,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op7_simhash": simhash.op7_simhash,
 }
