@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelake.llm import bpe, decontaminate, kn_quality, line_dedup, simhash
+from hirelake.llm import bpe, decontaminate, kn_quality, line_dedup, quality_rules, simhash
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": kn_quality.op3_quality,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op7_simhash": simhash.op7_simhash,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLES = {
     "op2_decontaminate": decontaminate.OP2_SQL,
