@@ -172,11 +172,11 @@ def model_tables(counts: DataFrame, order: int) -> list[tuple[DataFrame, DataFra
     out = []
     for k in range(1, order + 1):
         n = [F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
 
         def off(i: int, y=y):
             """The discount of counts of i; half of i where there are too few counts to tell."""
-            d = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+            d = i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}"))
             return F.when(d.isNotNull() & (d > 0) & (d < i), d).otherwise(F.lit(i / 2)).alias(f"d{i}")
 
         # One row for each language: it may be broadcast.
