@@ -31,6 +31,9 @@ from hirelake.llm.common import portions, staged, table
 ORDER = 4
 #: Quantile of the trusted perplexities over which a document is rejected.
 QUANTILE = 0.995
+#: The limit is so many times as far from the median as the quantile, in logarithms, as a
+#: quantile of a few hundred documents, most of them good, is a narrow one.
+SLACK = 1.5
 #: Characters at the usual perplexity that are added to each text.
 PRIOR = 100
 #: Trusted documents that the model is trained on, at most; their ids are broadcast.
@@ -276,6 +279,7 @@ def classify(
     lang: str = "lang",
     order: int = ORDER,
     quantile: float = QUANTILE,
+    slack: float = SLACK,
     prior: int = PRIOR,
     max_trusted: int = MAX_TRUSTED,
     hold_out: int = HOLD_OUT,
@@ -284,8 +288,9 @@ def classify(
 
     ``steadied`` is the perplexity as if the text went on for ``prior`` characters at
     the usual perplexity of its language, so that a few words can't stand out by
-    chance.  A document goes (``kept`` false) when it is over ``limit``, the
-    ``quantile`` of its language among the trusted documents that set thresholds.
+    chance.  A document goes (``kept`` false) when it is over ``limit``: ``slack`` times
+    the ``quantile``'s distance from the median, both of its language and of the trusted
+    documents that set thresholds.
     Null and empty texts and texts of white space have no perplexity and stay, as do
     documents of a language for which no trusted document sets a limit; a null
     language is a language of its own.  Repeated rows are scored alike; trusted ids
@@ -306,8 +311,8 @@ def classify(
         "steadied", F.exp((n * F.log("perplexity") + prior * F.col("__usual")) / (n + prior))
     )
     limits = steadied.where(tells).groupBy(language.alias("__lang")).agg(
-        F.percentile_approx("steadied", quantile, 100_000).alias("limit")
-    )
+        F.percentile_approx(F.log("steadied"), quantile, 100_000).alias("__high"), F.first("__usual").alias("__usual")
+    ).select("__lang", F.exp(F.col("__usual") + slack * F.greatest(F.col("__high") - F.col("__usual"), F.lit(0.0))).alias("limit"))
     return steadied.join(F.broadcast(limits), language == F.col("__lang"), "left").select(
         *[F.col(f"`{c}`") for c in scored.columns if c != "calibrates"], "steadied", "limit",
         F.coalesce(F.col("steadied") <= F.col("limit"), F.lit(True)).alias("kept"),

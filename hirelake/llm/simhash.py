@@ -48,19 +48,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
+def row_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc, row, fp) of every row: ``row`` is a hash of its text, fp the fingerprint as a
+    signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                own = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own.view(np.int64))], ["doc", "fp"])
+                own = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own.view(np.int64))], ["doc", "row", "fp"])
 
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("doc", kind), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("row", T.LongType()), T.StructField("fp", T.LongType())])
+    return docs.select(F.col(f"`{doc_id}`").alias("doc"), row_hash(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
 
 
 def _tables(pieces: int, radius: int) -> list[int]:
@@ -238,7 +243,7 @@ def simhash_groups(
     pieces: int = PIECES,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc, fp (signed long) and component (smallest doc).
+    """One row per row of ``docs``: doc, row, fp (signed long) and component (smallest doc).
 
     Documents are linked when their fingerprints differ in ``radius`` bits or fewer;
     a component is all that links reach.  Null and empty texts, and texts of white
@@ -256,7 +261,21 @@ def simhash_groups(
     joined = staged(joined, "rooted")
     named = joined.groupBy("root").agg(F.min("doc").alias("component"))
     final = staged(joined.select("fp", "root").join(named, "root").select("fp", "component"), "components")
-    return rows.join(final, "fp").select("doc", "fp", "component")
+    return rows.join(final, "fp").select("doc", "row", "fp", "component")
+
+
+def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """``docs`` without those that aren't the first of their group.
+
+    The document whose id is the smallest of the group stays; rows that repeat it (id
+    and text) stay with it, and rows without an id go where their group has an id.
+    All columns pass through.
+    """
+    gone = simhash_groups(docs, doc_id, text, **how).where(
+        F.col("component").isNotNull() & ~F.col("doc").eqNullSafe(F.col("component"))
+    ).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (row_hash(F.col(f"`{text}`")) == F.col("__row"))
+    return docs.join(gone, same, "left_anti")
 
 
 def hex_of(fp: Column) -> Column:
