@@ -41,7 +41,9 @@ MAX_TRUSTED = 1_000_000
 #: Of the trusted documents, one in so many sets the thresholds instead of training.
 HOLD_OUT = 5
 #: Characters of a block and of a portion that is worked on at once.
-BLOCK, PORTION = 16_000_000, 2_000_000
+BLOCK, PORTION = 32_000_000, 2_000_000
+#: N-grams of a block that a task holds before it hands them on.
+HELD = 500_000
 _START = "\x02"
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -77,9 +79,11 @@ class Grams:
 
     def sums(self, value: np.ndarray) -> np.ndarray:
         """Per text, the sum of its n-grams' values."""
-        total = np.r_[0.0, np.cumsum(value[self.ids])]
-        ends = np.cumsum(self.lengths)
-        return total[ends] - total[ends - self.lengths]
+        out = np.zeros(len(self.lengths))
+        some = self.lengths > 0
+        if some.any():
+            out[some] = np.add.reduceat(value[self.ids], (np.cumsum(self.lengths) - self.lengths)[some])
+        return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -119,31 +123,48 @@ def _by_language(part: list[pa.RecordBatch], text: str, lang: str):
 
 
 def _asked(batches, text: str, lang: str, order: int):
-    """Of each portion: the distinct n-grams, with their occurrences in training text."""
+    """Of each block: its n-grams, with their occurrences in training text.
+
+    An n-gram comes once, or a few times where a block has more than ``HELD`` of them.
+    """
+    held: dict[tuple[str, str], int] = {}
+    at_block = None
+
+    def rows():
+        langs, grams = zip(*held, strict=True) if held else ((), ())
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(held), at_block or 0)), pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(held.values(), pa.int64())],
+            ["block", "lang", "gram", "n"],
+        )
+        held.clear()
+        return out
+
     for block, part in _blocks(batches, text):
+        if block != at_block or len(held) > HELD:
+            yield rows()
+            at_block = block
         train = pc.fill_null(pa.Table.from_batches(part)["__train"], False).to_numpy()
         for language, at, texts in _by_language(part, text, lang):
             grams = Grams(texts, order)
             if len(grams.names):
                 weight = np.repeat(train[at], grams.lengths)
                 n = np.bincount(grams.ids[weight], minlength=len(grams.names))
-                size = len(grams.names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, block)), pa.array([language] * size, pa.string()), grams.names, pa.array(n, pa.int64())],
-                    ["block", "lang", "gram", "n"],
-                )
+                for gram, k in zip(grams.names.to_pylist(), n.tolist(), strict=True):
+                    key = language, gram
+                    held[key] = held.get(key, 0) + k
+    yield rows()
 
 
 def _packed(batches, text: str):
     """Each portion's rows as a compressed Arrow stream."""
     for block, part in _blocks(batches, text):
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, part[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, part[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
             out.write_table(pa.Table.from_batches(part).combine_chunks())
         yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
 
-def _scored(packed: pa.Table, answers: pa.Table, text: str, lang: str, order: int) -> Iterator[pa.Table]:
+def _scored(packed: pa.Table, answers: pa.Table, text: str, lang: str, order: int, returns: list[str]) -> Iterator[pa.Table]:
     """The rows of a block with ``n_scored`` and ``log_prob``."""
     known = {}
     for language in pc.unique(answers["lang"]).to_pylist():
@@ -160,7 +181,7 @@ def _scored(packed: pa.Table, answers: pa.Table, text: str, lang: str, order: in
                 if found.null_count:
                     raise RuntimeError("a block met n-grams that it had not asked for: its table changed between two reads")
                 n[at], total[at] = grams.lengths, grams.sums(log_p[found.to_numpy()])
-        yield rows.append_column("n_scored", pa.array(n)).append_column("log_prob", pa.array(total))
+        yield rows.select(returns).append_column("n_scored", pa.array(n)).append_column("log_prob", pa.array(total))
 
 
 def model_tables(counts: DataFrame, order: int) -> list[tuple[DataFrame, DataFrame]]:
@@ -230,8 +251,10 @@ def perplexities(
     order: int = ORDER,
     max_trusted: int = MAX_TRUSTED,
     hold_out: int = HOLD_OUT,
+    returns: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with n_scored (characters), perplexity and calibrates (boolean).
+    """``docs`` with n_scored (characters), perplexity and calibrates (boolean); of the
+    columns of ``docs`` only ``returns``, if given.
 
     ``trusted`` is a table of trusted ids, in a column called like ``doc_id``.  Over
     ``max_trusted`` of them, those with the smallest hashes serve.  The documents must
@@ -249,23 +272,22 @@ def perplexities(
         F.broadcast(ids.select("__id", (~role).alias("__train"))), F.col(f"`{doc_id}`") == F.col("__id"), "left"
     ).drop("__id")
     asked = staged(
-        base.mapInArrow(lambda b: _asked(b, text, lang, order), "block long, lang string, gram string, n long")
-        .groupBy("block", "lang", "gram").agg(F.sum("n").alias("n")),
-        "asked",
+        base.mapInArrow(lambda b: _asked(b, text, lang, order), "block long, lang string, gram string, n long"), "asked"
     )
     totals = staged(asked.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
     model = staged(log_probabilities(totals, totals.where("n > 0"), order), "model")
     answers = asked.select("block", "lang", "gram").join(model, ["lang", "gram"])
     packed = base.mapInArrow(lambda b: _packed(b, text), "block long, rows binary")
-    out = T.StructType([*base.schema.fields, T.StructField("n_scored", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    names = [c for c in base.columns if c == "__train" or returns is None or c in returns]
+    out = T.StructType([*[base.schema[c] for c in names], T.StructField("n_scored", T.LongType()), T.StructField("log_prob", T.DoubleType())])
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
-        return pa.concat_tables(_scored(rows, found, text, lang, order))
+        return pa.concat_tables(_scored(rows, found, text, lang, order, names))
 
     # Each block has rows; answers without rows can't be, as blocks ask for what is in them.
     scored = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, out)
     return scored.select(
-        *[c for c in base.columns if c != "__train"], "n_scored",
+        *[c for c in names if c != "__train"], "n_scored",
         F.when(F.col("n_scored") > 0, F.exp(-F.col("log_prob") / F.col("n_scored"))).alias("perplexity"),
         F.coalesce(~F.col("__train"), F.lit(False)).alias("calibrates"),
     )
@@ -283,6 +305,7 @@ def classify(
     prior: int = PRIOR,
     max_trusted: int = MAX_TRUSTED,
     hold_out: int = HOLD_OUT,
+    returns: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with n_scored, perplexity, steadied, limit and kept.
 
@@ -295,11 +318,12 @@ def classify(
     documents of a language for which no trusted document sets a limit; a null
     language is a language of its own.  Repeated rows are scored alike; trusted ids
     count once, and ids without a document or null ones say nothing.  No documents
-    give no rows; without trusted ids all stay.  Other columns pass through, ones
-    named like an added column are replaced.
+    give no rows; without trusted ids all stay.  Other columns pass through (or only
+    ``returns``, which has to name ``lang``); ones named like an added column are
+    replaced.
     """
     clean = docs.drop("steadied", "limit", "kept", "__lang", "__usual")
-    scored = staged(perplexities(clean, trusted, doc_id, text, lang, order, max_trusted, hold_out), "scored")
+    scored = staged(perplexities(clean, trusted, doc_id, text, lang, order, max_trusted, hold_out, returns), "scored")
     language = F.coalesce(F.col(f"`{lang}`"), F.lit(""))
     tells = F.col("calibrates") & F.col("perplexity").isNotNull()
     # One row for each language, here and below.
@@ -325,6 +349,6 @@ def trusted_ids(spark, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return classify(docs, trusted_ids(spark, sf_dir)).select(
+    return classify(docs, trusted_ids(spark, sf_dir), returns=["doc_id", "lang"]).select(
         "doc_id", "lang", F.col("n_scored").alias("n_chars"), "perplexity", "steadied", "limit", "kept"
     )
