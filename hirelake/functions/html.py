@@ -79,30 +79,70 @@ def markup_text(inner: Column) -> Column:
     return F.regexp_replace(inner, r"(?s)<!--.*?-->|<[^>]*>", "")
 
 
-def unescape(c: Column) -> Column:
-    """Decode named and numeric character references."""
-    named = F.from_json(
-        F.lit(json.dumps({k: v for k, v in html5.items() if k.endswith(";")})),
-        "map<string,string>",
+#: Code points that a number from 128 to 159 stands for in HTML (fixed values).
+_C1 = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020, 0x87: 0x2021,
+    0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152, 0x8E: 0x017D, 0x91: 0x2018,
+    0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022, 0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC,
+    0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A, 0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}
+
+
+def _character(digits: Column, base: int) -> Column:
+    """The character of a reference's digits, of any count; what is none is U+FFFD.
+
+    It is put together from UTF-8 bytes by arithmetic, so no number can fail.
+    """
+    most = 7 if base == 10 else 6
+    bare = F.regexp_replace(digits, "^0+(?=.)", "")
+    number = F.when(F.length(bare) > most, 0x110000).otherwise(
+        (F.conv(F.left(bare, F.lit(most)), base, 10)).cast("bigint")
     )
 
-    def code_point(n: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0")), "UTF-32")
+    def encoded(given: Column) -> Column:
+        known = F.try_element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in _C1.items() for x in kv]), given)
+        bad = (given == 0) | (given > 0x10FFFF) | given.between(0xD800, 0xDFFF)
+        n = F.when(bad, F.lit(0xFFFD)).otherwise(F.coalesce(known, given)).cast("bigint")
+
+        def utf8(n: Column) -> Column:
+            def byte(mark: int, shift: int, mask: int) -> Column:
+                return F.lpad(F.hex(F.lit(mark) + F.shiftright(n, shift).bitwiseAND(F.lit(mask).cast("bigint"))), 2, "0")
+
+            tail = [byte(0x80, s, 0x3F) for s in (12, 6, 0)]
+            text = (
+                F.when(n < 0x80, byte(0, 0, 0x7F))
+                .when(n < 0x800, F.concat(byte(0xC0, 6, 0x1F), tail[2]))
+                .when(n < 0x10000, F.concat(byte(0xE0, 12, 0x0F), *tail[1:]))
+                .otherwise(F.concat(byte(0xF0, 18, 0x07), *tail))
+            )
+            return F.unhex(text).cast("string")
+
+        return let(n, utf8)
+
+    return let(number, encoded)
+
+
+def unescape(c: Column) -> Column:
+    """Decode named and numeric character references, with or without their semicolon.
+
+    Numbers beyond Unicode, zero and surrogates become U+FFFD; names without a
+    semicolon are decoded where HTML knows them so, the longest first.
+    """
+    named = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    bare = "|".join(sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True))
 
     def reference(piece: Column) -> Column:
         # ``piece`` starts behind an ampersand.
-        name = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
-        decimal = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1)
-        hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
-        rest = F.regexp_replace(piece, r"^[#a-zA-Z0-9]+;", "")
+        whole = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
+        name = F.when(F.try_element_at(named, whole).isNotNull(), whole).otherwise(F.regexp_extract(piece, f"^({bare})", 1))
+        decimal = F.regexp_extract(piece, r"^#([0-9]+)", 1)
+        hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]+)", 1)
+        rest = F.regexp_replace(piece, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", "")
         return (
-            F.when(decimal != "", F.concat(code_point(decimal), rest))
-            .when(hexadecimal != "", F.concat(code_point(F.conv(hexadecimal, 16, 10)), rest))
-            .otherwise(
-                F.coalesce(
-                    F.concat(F.try_element_at(named, name), rest), F.concat(F.lit("&"), piece)
-                )
-            )
+            F.when(decimal != "", F.concat(_character(decimal, 10), rest))
+            .when(hexadecimal != "", F.concat(_character(hexadecimal, 16), rest))
+            .when(name != "", F.concat(F.try_element_at(named, name), F.substr(piece, F.length(name) + 1)))
+            .otherwise(F.concat(F.lit("&"), piece))
         )
 
     def decode(pieces: Column) -> Column:

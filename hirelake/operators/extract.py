@@ -273,15 +273,19 @@ RULES = {
 }
 
 
-def readable_pages(pages: DataFrame) -> DataFrame:
-    """Detail pages worth reading: served correctly and not a challenge page.
+def readable() -> Column:
+    """Whether a detail page is worth reading: served correctly and not a challenge page.
 
     Site B is judged by its text alone, the others by the response status.
     """
     served = F.when(F.col("source_site") == "jobinja", ~is_challenge(F.col("raw_html"))).otherwise(
         F.col("response_status") == 200
     )
-    return pages.where(served)
+    return F.coalesce(served, F.lit(False))
+
+
+def readable_pages(pages: DataFrame) -> DataFrame:
+    return pages.where(readable())
 
 
 def extract_site(
@@ -326,20 +330,22 @@ def extract_site(
 def extract_postings(
     pages: DataFrame, as_of: date, headings: SiteHeadings = HEADINGS
 ) -> DataFrame:
-    """Posting rows of all sites' readable detail pages."""
+    """Posting rows of the readable detail pages of all sites that have rules."""
     good = readable_pages(pages)
     return reduce(
         DataFrame.unionByName, [extract_site(good, site, as_of, headings) for site in RULES]
     )
 
 
-def attempts_of(pages: DataFrame) -> DataFrame:
-    """``(job_url, source_site, success)`` per fetched detail page."""
-    good = readable_pages(pages).select("id", F.lit(True).alias("_ok"))
-    return pages.join(good, "id", "left").select(
+def attempts_of(pages: DataFrame, rules: Mapping[str, SiteRules] = RULES) -> DataFrame:
+    """``(job_url, source_site, success)`` per fetched detail page.
+
+    A page of a site without ``rules`` can't be read and fails.
+    """
+    return pages.select(
         F.col("source_url").alias("job_url"),
         "source_site",
-        F.coalesce("_ok", F.lit(False)).alias("success"),
+        (readable() & F.coalesce(F.col("source_site").isin(*rules), F.lit(False))).alias("success"),
     )
 
 

@@ -75,7 +75,7 @@ def refresh_companies(companies: DataFrame, postings: DataFrame, as_of: date) ->
 
 def inactive_companies(companies: DataFrame, postings: DataFrame) -> DataFrame:
     """Companies marked active that have no active posting."""
-    active = postings.where(F.col("is_active")).select(F.col("company_id").alias("id"))
+    active = postings.where(F.col("is_active")).select(F.col("company_id").alias("id")).distinct()
     return companies.where("active_job_postings > 0").join(active, "id", "left_anti")
 
 

@@ -8,22 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
-HOT_MIN_ROWS = 1_000_000
-SALTS = 64
 
 
-def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> list:
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys holding at least ``share`` of the rows.
 
     At most ``1 / share`` keys can qualify, which bounds what reaches the driver.
-    Below ``min_rows`` no key can hurt and the count per key is skipped.
     """
     rows = df.where(F.col(key).isNotNull()).select(key)
     total = rows.count()
-    if total < max(min_rows, 1):
-        return []
     top = rows.groupBy(key).count().orderBy(F.desc("count")).limit(int(1 / share)).collect()
     return [r[key] for r in top if r["count"] >= share * total]
 
@@ -34,14 +27,16 @@ def lookup(
     key: str,
     row_id: str,
     hot: Sequence = (),
-    salts: int = SALTS,
+    salts: int | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` (unique on ``key``) with hot and null keys spread.
 
-    Fact rows of a hot key go to ``salts`` different partitions and only the hot
-    dimension rows are repeated; null keys match nothing and are spread as well.
+    Fact rows of a hot key go to ``salts`` different partitions (all of them, unless
+    told otherwise) and only the hot dimension rows are repeated; null keys match
+    nothing and are spread as well.
     """
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(key).isNull()
     repeat = F.lit(False)
     if hot:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from hirelake.operators import pages as P
 from hirelake.operators import tracking as K
 from hirelake.operators.ids import assign_ids, next_id
 from hirelake.operators.metrics import discovered_by_site
-from hirelake.sources.tables import TableStore
+from hirelake.sources.tables import TableStore, settled
 
 
 @dataclass
@@ -24,30 +24,39 @@ class Discovery:
 
 
 def discover(
-    listing_pages: DataFrame, log: DataFrame, tracking: DataFrame, session: str, as_of: date
+    listing_pages: DataFrame,
+    log: DataFrame,
+    tracking: DataFrame,
+    session: str,
+    as_of: date,
+    at: datetime | None = None,
+    first_id: int = 1,
 ) -> Discovery:
     """Links of listing pages -> discovery rows to append, tracking, totals per site.
 
     Only the session's own part of the log can hold its URLs, so only that
-    partition is read.
+    partition is read.  New rows are numbered from ``first_id`` by page and position.
+    The links are extracted once and kept, as three results are made of them.
     """
     log = log.where(F.col("scrape_session_id") == session)
-    links = X.listing_links(listing_pages).select(
+    pages = listing_pages.select(F.col("id").alias("page"), F.col("source_url").alias("_found_on"))
+    links = X.listing_links(listing_pages).withColumnRenamed("id", "page").join(pages, "page").select(
         F.lit(session).alias("scrape_session_id"),
         "job_url",
         "source_site",
         F.lit(None).cast("string").alias("company_url"),
-        F.lit(None).cast("string").alias("found_on_page"),
-        "id",
+        F.col("_found_on").alias("found_on_page"),
+        F.lit(at).cast("timestamp_ntz").alias("discovered_at"),
+        "page",
         "position",
     )
-    order = ["id", "position"]
-    unique = K.first_occurrences(links, ["scrape_session_id", "source_site", "job_url"], order)
+    order = ["page", "position"]
+    unique = settled(K.first_occurrences(links, ["scrape_session_id", "source_site", "job_url"], order))
     found = unique.withColumns(
         {"session": F.lit(session), "day": F.lit(as_of).cast("date")}
     )
     return Discovery(
-        log=K.new_discoveries(log, unique, order),
+        log=assign_ids(K.new_discoveries(log, unique, order), "page", "position", first_id),
         tracking=K.track_urls(tracking, found, order, small_batch=True),
         totals=discovered_by_site(unique),
     )
@@ -97,23 +106,40 @@ def run_collection(
     detail_pages: DataFrame,
     session: str,
     as_of: date,
+    at: datetime | None = None,
 ) -> DataFrame:
-    """Both phases against the store; returns discovered URLs per site."""
+    """Both phases against the store; returns discovered URLs per site.
+
+    Pages whose id is stored are done and left out, so a session may be run again.
+    They are stored last: what a broken run did is done once more, by merges that
+    find the rows it left.
+    """
+    known = store.read("raw_scrapes")
+    done = known.select("id")
+    listing_pages = listing_pages.join(done, "id", "left_anti")
+    detail_pages = detail_pages.join(done, "id", "left_anti")
+    log = store.read("job_discoveries")
     phase1 = discover(
-        listing_pages, store.read("job_discoveries"), store.read("job_tracking"), session, as_of
+        listing_pages, log, store.read("job_tracking"), session, as_of, at, next_id(log)
     )
-    known = store.read("raw_scrapes")
-    listing_rows = P.store_pages(listing_pages, known)
-    store.append("raw_scrapes", listing_rows.withColumn("scrape_session_id", F.lit(session)))
+    # Both are computed before anything that they are made from changes.
+    totals, listing_rows = settled(phase1.totals), settled(P.store_pages(listing_pages, known))
     store.append("job_discoveries", phase1.log)
     store.replace("job_tracking", phase1.tracking)
-    names = ["raw_scrapes", "job_postings", "job_tracking", "company_tracking"]
-    phase2 = collect_details(detail_pages, {n: store.read(n) for n in names}, session, as_of)
-    store.append("raw_scrapes", phase2.pages.withColumn("scrape_session_id", F.lit(session)))
+    names = ["job_postings", "job_tracking", "company_tracking"]
+    seen = known.unionByName(listing_rows.select(*[c for c in known.columns if c in listing_rows.columns]), allowMissingColumns=True)
+    phase2 = collect_details(
+        detail_pages, {n: store.read(n) for n in names} | {"raw_scrapes": seen}, session, as_of
+    )
+    detail_rows = settled(phase2.pages)
     store.replace("job_postings", number_new_postings(phase2.postings))
     store.replace("job_tracking", phase2.tracking)
     store.replace("company_tracking", phase2.companies)
-    return phase1.totals
+    for rows in (listing_rows, detail_rows):
+        store.append("raw_scrapes", rows.withColumn("scrape_session_id", F.lit(session)))
+    for name in names:
+        store.vacuum(name)
+    return totals
 
 
 def number_new_postings(postings: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.labels import employment_type, experience_level, known_or_kept
 from hirelake.functions.skills import (
     SkillEntry,
+    cleaned,
     load_dictionary,
     match_large,
     match_skills,
@@ -60,7 +61,7 @@ Dictionary = list[SkillEntry] | DataFrame
 def usable(dictionary: Iterable[SkillEntry] | DataFrame) -> Dictionary:
     """A dictionary table as entries where it is small enough for the plan."""
     if not isinstance(dictionary, DataFrame):
-        return list(dictionary)
+        return cleaned(dictionary)
     loaded = load_dictionary(dictionary)
     return dictionary if loaded is None else loaded
 

@@ -258,7 +258,7 @@ def posting_page_after(
     last = F.struct(
         F.lit(shown).cast("date"), F.lit(first_seen).cast("date"), F.lit(last_id).cast("bigint")
     )
-    return found.where(key < last).orderBy(*_listing_order()).limit(min(page_size, 100))
+    return found.where(key < last).orderBy(*_listing_order()).limit(page_size)
 
 
 def match_count(found: DataFrame) -> DataFrame:

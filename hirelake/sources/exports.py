@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import error_text
+from hirelake.sources import values as V
 from hirelake.sources.schemas import SCHEMAS
 
 
@@ -107,7 +108,7 @@ def log_event(
     row = {
         "process_type": process_type, "process_id": process_id, "status": status,
         "message": message, "details_json": details, "records_processed": processed,
-        "records_failed": failed, "error_details": error[:2000] if error else None,
+        "records_failed": failed, "error_details": error[:V.ERROR_TEXT_LIMIT] if error else None,
         "timestamp": at,
     }
     schema = SCHEMAS["processing_logs"]

@@ -9,6 +9,7 @@ Append-only tables keep one directory, partitioned by their run column.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from hirelake.sources.schemas import APPEND_ONLY, SCHEMAS
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset,
-    as in local tests, a temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a local
+    master uses a temporary folder, as in tests; on a cluster it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -28,20 +29,19 @@ def shared_folder(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="hirelake-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A table scan with fewer splits than cores, spread over the cores.
+def spread(scan: DataFrame, partitions: int) -> DataFrame:
+    """A table dealt over so many partitions, for CPU-heavy work on few file splits.
 
-    For CPU-heavy work on a small file.  A table of many files has splits enough
-    and comes back unchanged, without a shuffle.  Only for plain scans: asking
-    another plan for its partitions may run it.
+    It shuffles the table, so the caller says whether and how far.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan.repartition(partitions)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -68,27 +68,36 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _versions(self, name: str) -> list[tuple[int, int, str]]:
-        """Committed versions as (number, stream batch or -1, folder), oldest first."""
+    def _versions(self, name: str) -> list[tuple[int, str]]:
+        """Committed versions as (number, folder), oldest first."""
         fs, p = self._fs(self.path(name))
         if not fs.exists(p):
             return []
         out = []
         for status in fs.listStatus(p):
             folder = status.getPath()
-            number, _, batch = folder.getName().removeprefix("v=").partition(",b=")
+            number = folder.getName().removeprefix("v=")
             marker = self.spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
             if number.isdigit() and fs.exists(marker):
-                out.append((int(number), int(batch or -1), folder.toString()))
+                out.append((int(number), folder.toString()))
         return sorted(out)
 
     def version(self, name: str) -> int | None:
         """Highest committed version of a keyed table."""
-        return max((v for v, _, _ in self._versions(name)), default=None)
+        return max((v for v, _ in self._versions(name)), default=None)
 
-    def applied_batch(self, name: str) -> int:
-        """Last stream batch merged into the table, -1 for none."""
-        return max((b for _, b, _ in self._versions(name)), default=-1)
+    def applied(self, name: str) -> dict[str, int]:
+        """Last batch merged into the table, by stream."""
+        versions = self._versions(name)
+        return self._record(versions[-1][1]) if versions else {}
+
+    def _record(self, folder: str) -> dict[str, int]:
+        """The batches that a version holds: (stream, batch) rows beside its data."""
+        fs, p = self._fs(f"{folder}/_streams")
+        if not fs.exists(p):
+            return {}
+        rows = self.spark.read.schema("stream string, batch long").parquet(f"{folder}/_streams")
+        return {r.stream: r.batch for r in rows.collect()}
 
     def read(self, name: str, as_of_version: int | None = None) -> DataFrame:
         """The table under its declared schema; empty before the first write."""
@@ -98,29 +107,50 @@ class TableStore:
             if not fs.exists(p):
                 return self.spark.createDataFrame([], schema)
             return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
-        folders = {v: folder for v, _, folder in self._versions(name)}
+        folders = dict(self._versions(name))
         if not folders and as_of_version is None:
             return self.spark.createDataFrame([], schema)
         number = max(folders) if as_of_version is None else as_of_version
         return self.spark.read.schema(schema).parquet(folders[number])
 
-    def replace(self, name: str, df: DataFrame, batch: int | None = None) -> DataFrame:
+    def replace(
+        self, name: str, df: DataFrame, batch: tuple[str, int] | None = None, base: int | None = None
+    ) -> DataFrame:
         """Write the next version and return it as stored.
 
-        ``batch`` records the stream batch merged in, under the same commit.
+        ``batch`` is a stream and its batch that is merged in; the record of all streams'
+        batches is committed with the version.  ``base`` is the version that ``df`` was
+        made from, the newest by default.  If another writer has taken the next number,
+        this raises and leaves its version alone.
         """
-        current = self.version(name)
+        versions = dict(self._versions(name))
+        current = base if base is not None else max(versions, default=None)
         version = 0 if current is None else current + 1
-        label = f"v={version}" if batch is None else f"v={version},b={batch}"
-        _conform(df, name).write.mode("overwrite").parquet(f"{self.path(name)}/{label}")
+        folder = f"{self.path(name)}/v={version}"
+        fs, p = self._fs(folder)
+        taken = FileExistsError(f"{name} has a version {version} already: merge again with what it holds now")
+        if version in versions:
+            raise taken
+        # Each writer has a folder of its own until it commits by a rename.
+        claim = self._fs(f"{self.path(name)}/_claim-{version}-{uuid.uuid4().hex}")[1]
+        streams = self._record(versions[current]) if current is not None else {}
+        if batch is not None:
+            streams[batch[0]] = batch[1]
+        own = claim.toString()
+        _conform(df, name).write.parquet(own)
+        if streams:
+            self.spark.createDataFrame(sorted(streams.items()), "stream string, batch long").coalesce(1).write.parquet(f"{own}/_streams")
+        nested = self._fs(f"{folder}/{claim.getName()}")[1]
+        if fs.exists(p) or not fs.rename(claim, p) or fs.exists(nested):
+            # Another writer was first; a rename to an existing folder may go inside it.
+            fs.delete(nested if fs.exists(nested) else claim, True)
+            raise taken
         return self.read(name, version)
 
     def vacuum(self, name: str, keep: int = 2) -> int:
-        """Drop all but the last ``keep`` versions; the batch record stays."""
-        versions = self._versions(name)
-        newest_batch = self.applied_batch(name)
-        old = [v for v in versions[:-keep] if v[1] < max(newest_batch, 0)]
-        for _, _, folder in old:
+        """Drop all but the last ``keep`` versions; the newest has the record of streams."""
+        old = self._versions(name)[: -max(keep, 1)]
+        for _, folder in old:
             fs, p = self._fs(folder)
             fs.delete(p, True)
         return len(old)

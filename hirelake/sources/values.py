@@ -122,5 +122,3 @@ NO_RESULT_TEXT = {
     "jobinja": "متاسفانه‌ برای فیلتر‌های اعمال شده نتیجه‌ای یافت نشد",
     "jobvision": "فرصت شغلی برای جستجوی شما پیدا نشد",
 }
-TOPIC_WORDS_EN = ("water", "water treatment", "wastewater")
-TOPIC_WORDS_FA = ("آب", "تصفیه آب", "فاضلاب")

@@ -19,16 +19,6 @@ from hirelake.sources import values as V
 from hirelake.sources.tables import TableStore
 
 
-def first_last_seen(found: DataFrame, key: str = "job_url", delay: str | None = None) -> DataFrame:
-    """First and last sighting per key, for update or complete mode.
-
-    The state keeps one row per key ever seen; ``track_stream`` keeps it in a
-    table instead.
-    """
-    rows = found.withWatermark("ts", delay) if delay else found
-    return rows.groupBy(key).agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
-
-
 def unique_discoveries(found: DataFrame, delay: str = "1 day") -> DataFrame:
     """One row per (session, URL) within the watermark."""
     return found.withWatermark("ts", delay).dropDuplicatesWithinWatermark(
@@ -73,36 +63,48 @@ def daily_counts(rows: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def _merge_into(store: TableStore, table: str, merge):
-    """A ``foreachBatch`` function merging each batch exactly once.
+def _merge_into(store: TableStore, table: str, stream: str, merge, keep: int):
+    """A ``foreachBatch`` function merging each batch of ``stream`` exactly once.
 
-    The batch id is committed together with the version it produced, so a batch
-    replayed after a failure is recognised and skipped.
+    The batch id is committed together with the version it produced, under the
+    stream's name, so a batch replayed after a failure is recognised and skipped, and
+    other streams into the same table don't meddle.  All but the last ``keep``
+    versions are dropped.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if store.applied_batch(table) < batch_id:
-            store.replace(table, merge(store.read(table), batch), batch=batch_id)
+        if store.applied(table).get(stream, -1) < batch_id:
+            base = store.version(table)
+            store.replace(table, merge(store.read(table, base), batch), batch=(stream, batch_id), base=base)
+            store.vacuum(table, keep)
 
     return apply
 
 
-def track_stream(found: DataFrame, store: TableStore, order: list[str]) -> DataStreamWriter:
-    """Merge a discovery stream into the URL tracking table."""
+def track_stream(
+    found: DataFrame, store: TableStore, order: list[str], stream: str = "discoveries", keep: int = 2
+) -> DataStreamWriter:
+    """Merge a discovery stream into the URL tracking table.
+
+    ``stream`` names it: one name for each checkpoint folder, a new one with a new
+    folder, as batch ids then start again.
+    """
 
     def merge(old: DataFrame, batch: DataFrame) -> DataFrame:
         return track_urls(old, batch, order, small_batch=True)
 
-    return found.writeStream.foreachBatch(_merge_into(store, "job_tracking", merge))
+    return found.writeStream.foreachBatch(_merge_into(store, "job_tracking", stream, merge, keep))
 
 
-def posting_stream(found: DataFrame, store: TableStore, order: list[str]) -> DataStreamWriter:
-    """Upsert a posting stream into the posting table."""
+def posting_stream(
+    found: DataFrame, store: TableStore, order: list[str], stream: str = "postings", keep: int = 2
+) -> DataStreamWriter:
+    """Upsert a posting stream into the posting table; ``stream`` as for ``track_stream``."""
 
     def merge(old: DataFrame, batch: DataFrame) -> DataFrame:
         return upsert_postings(old, batch, order, small_batch=True)
 
-    return found.writeStream.foreachBatch(_merge_into(store, "job_postings", merge))
+    return found.writeStream.foreachBatch(_merge_into(store, "job_postings", stream, merge, keep))
 
 
 def expire(store: TableStore, as_of: date, days: int = V.STALE_DAYS) -> DataFrame:

@@ -4,6 +4,8 @@ import re
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hirelake.functions import labels, people, skills, text, urls
@@ -63,7 +65,8 @@ def test_labels(spark):
 
 
 def test_skills(spark):
-    entries = skills.starter_dictionary()
+    entries = [skills.SkillEntry(s, "tool", (p,)) for s, p in
+               (("Git", "git"), ("Python", "PYTHON"), ("TypeScript", "ts"), ("C", " c "))]
     texts = ["Python requirements digital", None, "x c y", "", "plain"]
     expected = [["Git", "Python", "TypeScript"], [], ["C"], [], []]
     assert column(spark, texts, lambda c: skills.match_skills(c, entries)) == expected
@@ -90,6 +93,21 @@ def test_large_dictionary_equals_literal_one(spark):
     assert small == large and any(small.values())
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["S1", "s2", "S3", None]), st.sampled_from(["a", "b", None]),
+                          st.sampled_from(["ab", "AB", "b c", "x", "", None, "abcd", "😀"])), max_size=8),
+       st.booleans())
+def test_both_forms_of_a_dictionary_agree(spark, listed, whole_words):
+    """Empty, null and repeated patterns, and several categories, at either size."""
+    frame = spark.createDataFrame(listed, "skill string, category string, pattern string")
+    docs = spark.createDataFrame(list(enumerate(["Ab c", "xabcdx", "", None, "b C 😀", "x"])), "id int, body string")
+    loaded = skills.load_dictionary(frame)
+    small = docs.select("id", skills.match_skills(F.col("body"), loaded, whole_words).alias("s"))
+    large = skills.match_large(docs, "id", "body", frame, whole_words)
+    assert {r.id: r.s for r in small.collect()} == {r.id: r.skills for r in large.collect()}
+    assert all(e.category == min((c for s, c, _ in listed if s == e.skill and c), default=None) for e in loaded)
+
+
 def test_set_page_matches_urllib(spark):
     def model(u):
         p = urlsplit(u)

@@ -4,9 +4,10 @@ import json
 import os
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from hirelake.functions.skills import starter_dictionary
+from hirelake.functions.skills import SkillEntry
 from hirelake.operators.tracking import detail_worklist
 from hirelake.plans import reports
 from hirelake.plans.collection import run_collection
@@ -17,6 +18,7 @@ from hirelake.sources.tables import TableStore, jdbc_options, read_urls
 from hirelake.streaming import incremental
 from tests.test_extract import A, B, C
 
+SKILLS = [SkillEntry(s, "tool", (p,)) for s, p in (("Git", "git"), ("Python", "python"), ("SQL", " sql "))]
 DAY = date(2024, 3, 1)
 AT = datetime(2024, 3, 1, 2)
 
@@ -50,10 +52,16 @@ def test_collect_enrich_refresh(spark, tmp_path):
     postings = store.read("job_postings")
     assert [r.id for r in postings.orderBy("id").collect()] == [1, 2, 3, 4]
     assert store.read("company_tracking").count() == 3
-
-    dry = run_enrichment(store, starter_dictionary(), DAY, AT, dry_run=True).first()
+    log = store.read("job_discoveries")
+    assert sorted(r.id for r in log.collect()) == [1, 2, 3] and log.where("found_on_page is null").count() == 0
+    # The same session once more changes nothing.
+    before = {t: sorted(map(str, store.read(t).collect())) for t in ("raw_scrapes", "job_discoveries", "job_tracking", "job_postings", "company_tracking")}
+    run_collection(store, listing, detail, "s1", DAY)
+    assert before == {t: sorted(map(str, store.read(t).collect())) for t in before}
+
+    dry = run_enrichment(store, SKILLS, DAY, AT, dry_run=True).first()
     assert dry.pending_jobs_found == 4
-    counters = run_enrichment(store, starter_dictionary(), DAY, AT).first()
+    counters = run_enrichment(store, SKILLS, DAY, AT).first()
     assert (counters.total, counters.processed, counters.failed) == (4, 4, 0)
     assert counters.companies_linked == 4 and counters.translated_title == 4
     done = {r.external_id: r for r in store.read("job_postings").collect()}
@@ -64,7 +72,7 @@ def test_collect_enrich_refresh(spark, tmp_path):
     bridge = store.read("job_skills")
     assert bridge.count() == counters.skills_linked
     before = store.read("translation_cache").agg(F.sum("usage_count")).first()[0]
-    again = run_enrichment(store, starter_dictionary(), DAY, AT + timedelta(1)).first()
+    again = run_enrichment(store, SKILLS, DAY, AT + timedelta(1)).first()
     assert again.total == 0 and store.read("translation_cache").agg(F.sum("usage_count")).first()[0] == before
 
     summary = run_refresh(store, DAY + timedelta(20), AT + timedelta(20)).first()
@@ -89,7 +97,7 @@ def test_failed_rows_are_logged(spark, tmp_path):
         "id long, source_site string, source_url string, title_persian string, first_seen_date date, "
         "last_seen_date date, processing_status string")
     store.replace("job_postings", bad)
-    row = run_enrichment(store, starter_dictionary(), DAY, AT).first()
+    row = run_enrichment(store, SKILLS, DAY, AT).first()
     assert (row.processed, row.failed, row.skills_linked) == (1, 1, 1)
     log = store.read("processing_logs").where("entity_id = 1").first()
     assert (log.status, log.error_details) == ("failed", "source_site_not_allowed")
@@ -117,11 +125,36 @@ def test_stream_restart_and_replay(spark, tmp_path):
     got = {r.job_url: (r.first_seen_session, r.last_seen_session) for r in store.read("job_tracking").collect()}
     assert got == {"u1": ("s1", "s2"), "u2": ("s2", "s2")}
     version = store.version("job_tracking")
-    merge = incremental._merge_into(store, "job_tracking", lambda old, batch: batch)
-    merge(store.read("job_tracking").limit(0), store.applied_batch("job_tracking"))
+    merge = incremental._merge_into(store, "job_tracking", "discoveries", lambda old, batch: batch, 2)
+    merge(store.read("job_tracking").limit(0), store.applied("job_tracking")["discoveries"])
     assert store.version("job_tracking") == version
 
 
+def test_streams_into_one_table_lose_nothing(spark, tmp_path):
+    """Two streams, one of them restarted with a new checkpoint folder."""
+    schema = "seq int, job_url string, source_site string, session string, day date"
+    store = TableStore(spark, str(tmp_path / "t"))
+    for stream, urls in (("a", ["u1"]), ("b", ["u2", "u3"]), ("a again", ["u4"])):
+        spark.createDataFrame([(i, u, "jobinja", "s", DAY) for i, u in enumerate(urls)], schema).write.json(
+            str(tmp_path / f"in-{stream}"))
+        found = spark.readStream.schema(schema).json(str(tmp_path / f"in-{stream}"))
+        incremental.track_stream(found, store, ["seq"], stream).option(
+            "checkpointLocation", str(tmp_path / f"check-{stream}")).trigger(availableNow=True).start().awaitTermination()
+    assert {r.job_url for r in store.read("job_tracking").collect()} == {"u1", "u2", "u3", "u4"}
+    assert store.applied("job_tracking") == {"a": 0, "b": 0, "a again": 0}
+    assert len(store._versions("job_tracking")) == 2
+
+
+def test_writers_of_one_version(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"))
+    one = spark.createDataFrame([("u1",)], "job_url string")
+    store.replace("job_tracking", one)
+    store.replace("job_tracking", one.union(one), base=0)
+    with pytest.raises(FileExistsError):
+        store.replace("job_tracking", one, base=0)
+    assert store.version("job_tracking") == 1 and store.read("job_tracking").count() == 2
+
+
 def test_posting_stream_and_expiry(spark, tmp_path):
     schema = "seq int, source_site string, external_id string, source_url string, title_persian string, raw_scrape_id long, description_persian string, company_name_raw string, location_raw string, first_seen_date date, last_seen_date date"
     rows = [(1, "jobinja", "1", "u", "t", 1, None, None, None, DAY, DAY), (2, "jobinja", "1", "u", "t2", 2, "d", None, None, DAY, DAY)]

@@ -59,12 +59,15 @@ def daily_pivot(spark, d):
     return R.daily_pivot(R.daily_by_site(W.postings(spark, d, names=False), W.AS_OF), V.SITES)
 
 
-@query("breakdowns", f"""
+BREAKDOWNS = f"""
 SELECT CASE grouping(employment_type, experience_level, source_site)
     WHEN 3 THEN 'employment_type' WHEN 5 THEN 'experience_level' ELSE 'source_site' END AS dimension,
   coalesce(employment_type, experience_level, source_site, 'unknown') AS label, count(*) AS count
 FROM {P} WHERE first_seen_date >= {S.AS_OF} - 36500
-GROUP BY GROUPING SETS ((employment_type), (experience_level), (source_site))""")
+GROUP BY GROUPING SETS ((employment_type), (experience_level), (source_site))"""
+
+
+@query("breakdowns", BREAKDOWNS)
 def breakdowns(spark, d):
     return R.breakdowns(W.postings(spark, d), W.AS_OF, choice="all")
 
@@ -115,11 +118,12 @@ UNION ALL SELECT * FROM (SELECT 'top_companies', company_name_raw, count(*) AS c
   WHERE first_seen_date >= {S.AS_OF} - 36500 GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15)
 UNION ALL SELECT * FROM (SELECT 'top_locations', location_raw, count(*) AS count FROM {P}
   WHERE first_seen_date >= {S.AS_OF} - 36500 GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15)
-UNION ALL SELECT 'stats', 'total_jobs', count(*) FROM {P} WHERE first_seen_date >= {S.AS_OF} - 36500
+UNION ALL SELECT 'stats', unnest(['total_jobs', 'active_jobs', 'companies', 'new_this_week']),
+  unnest([count(*), count(*) FILTER (is_active), count(DISTINCT company_id),
+    count(*) FILTER (first_seen_date >= {S.AS_OF} - 7)]) FROM {P} WHERE first_seen_date >= {S.AS_OF} - 36500
 UNION ALL SELECT 'jobs_over_time', CAST(first_seen_date AS VARCHAR) || ' ' || source_site, count(*)
   FROM {P} WHERE first_seen_date >= {S.AS_OF} - 365 GROUP BY 2
-UNION ALL SELECT 'breakdowns', 'source_site ' || source_site, count(*) FROM {P}
-  WHERE first_seen_date >= {S.AS_OF} - 36500 GROUP BY 2""")
+UNION ALL SELECT 'breakdowns', dimension || ' ' || label, count FROM ({BREAKDOWNS})""")
 def dashboard_load(spark, d):
     six = dashboard(
         W.postings(spark, d), W.posting_skills(spark, d), W.skill_table(spark, d), W.AS_OF,
@@ -129,10 +133,8 @@ def dashboard_load(spark, d):
     def part(name, label):
         return six[name].select(F.lit(name).alias("report"), label.alias("label"), "count")
 
-    stats = six["stats"].select(
-        F.lit("stats").alias("report"), F.lit("total_jobs").alias("label"),
-        F.col("total_jobs").alias("count"),
-    )
+    measures = six["stats"].columns
+    stats = six["stats"].unpivot([], measures, "label", "count").select(F.lit("stats").alias("report"), "label", "count")
     return (
         part("top_skills", F.col("skill"))
         .union(part("top_companies", F.col("company")))
@@ -140,9 +142,7 @@ def dashboard_load(spark, d):
         .union(stats)
         .union(part("jobs_over_time", F.concat_ws(" ", "date", "source_site")))
         .union(
-            part("breakdowns", F.concat_ws(" ", "dimension", "label")).where(
-                F.col("label").startswith("source_site")
-            )
+            part("breakdowns", F.concat(F.col("dimension"), F.lit(" "), F.col("label")))
         )
     )
 

@@ -83,12 +83,9 @@ SELECT job_url, detail_scraped OR coalesce(ok, false) AS detail_scraped,
   CAST(CASE WHEN n IS NOT NULL THEN {S.EVENT_DAY} END AS VARCHAR) AS last_detail_scrape_date,
   CAST(detail_scrape_count + coalesce(n, 0) AS INT) AS detail_scrape_count
 FROM ({S.TRACKING}) t LEFT JOIN (SELECT job_url AS u, bool_or(success) AS ok, count(*) AS n
-  FROM ({S.ATTEMPTS}) WHERE worker_id < 2 AND NOT (success AND epoch_us(ts) % 2 = 0) GROUP BY 1) a ON u = job_url""")
+  FROM ({S.ATTEMPTS}) GROUP BY 1) a ON u = job_url""")
 def mark_scraped(spark, d):
-    tried = W.attempts(spark, d).where(
-        (F.col("worker_id") < 2) & ~(F.col("success") & (F.unix_micros("ts") % 2 == 0))
-    )
-    out = Tr.mark_scraped(W.url_tracking(spark, d), tried, W.EVENT_DAY)
+    out = Tr.mark_scraped(W.url_tracking(spark, d), W.attempts(spark, d), W.EVENT_DAY)
     return dates_as_text(
         out.select("job_url", "detail_scraped", "last_detail_scrape_date", "detail_scrape_count")
     )
@@ -124,19 +121,15 @@ def company_tracking(spark, d):
 @query("mark_companies", f"""
 SELECT company_url, ok AS profile_scraped, CAST(n AS INT) AS profile_scrape_count
 FROM ({COMPANY_TRACKING}) JOIN (SELECT company_url AS u, bool_or(keyword <> 'error') AS ok, count(*) AS n
-  FROM ({S.DISCOVERIES}) WHERE seq % 5 = 0 GROUP BY 1) ON u = company_url""")
+  FROM ({S.DISCOVERIES}) GROUP BY 1) ON u = company_url""")
 def mark_companies(spark, d):
     tried = (
-        W.discoveries(spark, d)
-        .where(F.col("seq") % 5 == 0)
-        .select("company_url", (F.col("keyword") != "error").alias("success"))
+        W.discoveries(spark, d).select("company_url", (F.col("keyword") != "error").alias("success"))
     )
     out = Tr.mark_scraped(
         _company_tracking(spark, d), tried, W.EVENT_DAY, key="company_url", kind="profile"
     )
-    return out.where("profile_scrape_count > 0").select(
-        "company_url", "profile_scraped", "profile_scrape_count"
-    )
+    return out.select("company_url", "profile_scraped", "profile_scrape_count")
 
 
 @query("detail_worklist", f"""
@@ -247,16 +240,18 @@ def rate_audit(spark, d):
 # --- posting upsert ----------------------------------------------------------
 
 BATCH = """
-SELECT o_custkey % 3000 AS k, o_orderkey AS seq, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p,
-  o_orderkey % 3 = 0 AS has, o_orderstatus AS st FROM orders WHERE o_orderkey % 2 = 1"""
+SELECT o_custkey AS k, o_orderkey AS seq, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p,
+  o_orderkey % 3 = 0 AS has, o_orderstatus AS st FROM orders"""
 
 
 def _stored_postings(spark, d):
     key = F.col("c_custkey")
-    return W.table(spark, d, "customer").where(key % 2 == 0).select(
+    # Every customer is stored, under twice its number, so that half of the batch is new.
+    external = (2 * key).cast("string")
+    return W.table(spark, d, "customer").select(
         key.alias("id"), F.lit(None).cast("bigint").alias("raw_scrape_id"),
-        key.cast("string").alias("external_id"), F.lit("jobinja").alias("source_site"),
-        F.concat(F.lit("u/"), key.cast("string")).alias("source_url"),
+        external.alias("external_id"), F.lit("jobinja").alias("source_site"),
+        F.concat(F.lit("u/"), external).alias("source_url"),
         F.col("c_name").alias("title_persian"),
         F.when(key % 4 == 0, F.lit("old text")).alias("description_persian"),
         F.col("c_name").alias("company_name_raw"),
@@ -270,9 +265,8 @@ def _stored_postings(spark, d):
     )
 
 
-def _posting_batch(spark, d):
-    o = W.table(spark, d, "orders").where(F.col("o_orderkey") % 2 == 1)
-    key = (F.col("o_custkey") % 3000).cast("string")
+def _posting_batch(o):
+    key = F.col("o_custkey").cast("string")
     day = F.to_date("o_orderdate")
     has = F.col("o_orderkey") % 3 == 0
     return o.select(
@@ -290,7 +284,7 @@ UPSERTED = f"""
 WITH b AS (SELECT CAST(k AS VARCHAR) AS external_id, max(seq) AS raw, arg_min(p, seq) AS title, arg_min(d, seq) AS d1,
     arg_max(d, seq) AS d2, max('text ' || seq) FILTER (false) AS nothing,
     'text ' || max(seq) FILTER (has) AS descr, arg_max(st, seq) AS loc FROM ({BATCH}) GROUP BY 1),
-  s AS (SELECT CAST(c_custkey AS VARCHAR) AS external_id, c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0)
+  s AS (SELECT CAST(2 * c_custkey AS VARCHAR) AS external_id, c_custkey, c_name FROM customer)
 SELECT coalesce(s.external_id, b.external_id) AS external_id, b.raw AS raw_scrape_id,
   CASE WHEN s.external_id IS NULL THEN title ELSE c_name END AS title_persian,
   coalesce(descr, CASE WHEN c_custkey % 4 = 0 THEN 'old text' END) AS description_persian,
@@ -303,7 +297,7 @@ FROM s FULL JOIN b ON b.external_id = s.external_id"""
 
 
 def _upserted(spark, d, small):
-    out = Tr.upsert_postings(_stored_postings(spark, d), _posting_batch(spark, d), ["seq"], small)
+    out = Tr.upsert_postings(_stored_postings(spark, d), _posting_batch(W.table(spark, d, "orders")), ["seq"], small)
     return dates_as_text(
         out.select(
             "external_id", "raw_scrape_id", "title_persian", "description_persian",
@@ -527,12 +521,11 @@ def validate_rows(spark, d):
 
 
 @query("orphan_rows", """
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')""")
+SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def orphan_rows(spark, d):
-    orders = W.table(spark, d, "orders").where("o_orderstatus <> 'F'")
-    lines = W.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return Sc.orphans(lines, "l_orderkey", orders, "o_orderkey")
+    """Documents without a label."""
+    docs = W.table(spark, d, "documents").select("doc_id", "source")
+    return Sc.orphans(docs, "doc_id", W.table(spark, d, "labels"), "doc_id")
 
 
 @query("session_report", f"""

@@ -11,13 +11,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.sources import values as V
 from hirelake.sources.tables import TableStore, shared_folder
 from hirelake.streaming import incremental as I
 from workload import sql as S
 from workload import views as W
 from workload.registry import query
 from workload.report_queries import dates_as_text
-from workload.state_queries import _TRACK_COLUMNS
+from workload.state_queries import _TRACK_COLUMNS, BATCH, _posting_batch
 
 
 def _work(spark: SparkSession, name: str) -> str:
@@ -111,3 +112,46 @@ def stream_content(spark, d):
         F.timestamp_seconds(F.lit(1_000_000_000) + F.col("doc_id")).alias("ts"),
     )
     return _finish(I.new_content(pages, "400 days"), spark, "content").select("content_hash")
+
+
+def _streamed_postings(spark, d):
+    work = _work(spark, "postings")
+    store = TableStore(spark, f"{work}/tables")
+    run = (
+        I.posting_stream(_posting_batch(_stream(spark, d, "orders")), store, ["seq"])
+        .option("checkpointLocation", f"{work}/check")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return store
+
+
+_POSTING_COLUMNS = [
+    "external_id", "raw_scrape_id", "title_persian", "description_persian", "location_raw",
+    "first_seen_date", "last_seen_date", "is_active", "deactivated_date", "processing_status",
+]
+_STREAMED = f"""
+SELECT CAST(k AS VARCHAR) AS external_id, max(seq) AS raw_scrape_id, arg_min(p, seq) AS title_persian,
+  'text ' || max(seq) FILTER (has) AS description_persian, arg_max(st, seq) AS location_raw,
+  CAST(arg_min(d, seq) AS VARCHAR) AS first_seen_date, CAST(arg_max(d, seq) AS VARCHAR) AS last_seen_date
+FROM ({BATCH}) GROUP BY 1"""
+
+
+@query("posting_stream", f"""
+SELECT *, true AS is_active, CAST(NULL AS VARCHAR) AS deactivated_date, 'pending' AS processing_status
+FROM ({_STREAMED})""")
+def posting_stream(spark, d):
+    """A stream of postings upserted into an empty table."""
+    return dates_as_text(_streamed_postings(spark, d).read("job_postings").select(*_POSTING_COLUMNS))
+
+
+_STALE = f"CAST(last_seen_date AS DATE) < {S.AS_OF} - {V.STALE_DAYS}"
+
+
+@query("posting_expiry", f"""
+SELECT *, NOT ({_STALE}) AS is_active, CASE WHEN {_STALE} THEN CAST({S.AS_OF} AS VARCHAR) END AS deactivated_date,
+  'pending' AS processing_status FROM ({_STREAMED})""")
+def posting_expiry(spark, d):
+    """The staleness pass over the streamed postings."""
+    return dates_as_text(I.expire(_streamed_postings(spark, d), W.AS_OF).select(*_POSTING_COLUMNS))

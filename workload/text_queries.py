@@ -230,12 +230,14 @@ WITH p AS (SELECT doc_id, sha256(text) AS h, doc_id % 7 AS late FROM documents),
 SELECT doc_id AS id, h AS content_hash,
   row_number() OVER (PARTITION BY h ORDER BY 1000000 - late, doc_id) > 1
     OR h IN (SELECT h FROM known) AS is_duplicate
-FROM p WHERE late < 4""")
+FROM p WHERE late < 4
+UNION ALL SELECT doc_id, h, row_number() OVER (PARTITION BY h ORDER BY 1000000 - late, doc_id) > 1
+FROM p WHERE late >= 4""")
 def page_dedupe_stored(spark, d):
     pages = W.raw_pages(spark, d)
     store = P.store_pages(pages.where(F.col("id") % 7 >= 4))
     out = P.store_pages(pages.where(F.col("id") % 7 < 4), store)
-    return out.select("id", "content_hash", "is_duplicate")
+    return store.unionByName(out).select("id", "content_hash", "is_duplicate")
 
 
 @query("page_links", f"""

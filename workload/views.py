@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from hirelake.sources.tables import spread
 
+#: Partitions that tables of long texts are dealt over here, as they come in one file.
+TEXT_PARTITIONS = 32
+
 AS_OF = date(2001, 8, 1)
 RUN_AT = datetime(2001, 8, 1, 2, 0, 0)
 EVENT_DAY = date(2024, 1, 31)
@@ -25,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows take much CPU each."""
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), TEXT_PARTITIONS)
 
 
 def site_of(n: Column) -> Column:
