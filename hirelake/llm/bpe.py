@@ -31,14 +31,14 @@ from hirelake.llm.common import portions, staged, table
 LEAF = 64
 #: Characters of a text that one task encodes.
 SPREAD = 32_768
-#: Runs that a Python worker keeps.
-CACHE = 200_000
+#: Runs in each of the two generations that a Python worker keeps.
+CACHE = 250_000
 #: A run's text that is kept at most, so that the cache's size is bounded.
 CACHED_CHARS = 256
 
 #: White space that all parts of the tokenizer treat as such.
 _BLANK = re.compile("[ \t\n\x0b\x0c\r]+")
-_RUN = re.compile("[^ \t\n\x0b\x0c\r]+")
+_NONE = (0, "", "")
 
 
 def named_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -71,19 +71,75 @@ class Encoder:
         added = self.whole.get_added_tokens_decoder()
         self.added = {t.content: i for i, t in added.items()}
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        size = 1 + max(*model["vocab"].values(), *self.added.values(), 0)
+        #: Of each id, its text and its token.
+        self.names = [(str(i), self.whole.id_to_token(i)) for i in range(size)]
+        self.joined_tokens = json.loads(spec)["decoder"] is None  # else the library decodes
+        #: Runs met lately, and those met before the last time it was full.
+        self.cache: dict[str, tuple[int, str, str]] = {"": _NONE}
+        self.older: dict[str, tuple[int, str, str]] = {}
         self.joins = 0
+        self._learn_plain()
+
+    def _learn_plain(self) -> None:
+        """Ask the tokenizer for letters that it takes one by one, and for marks that it
+        sets apart from them: words of such letters need only the model.
+
+        Letters qualify if each is normalised and pre-tokenised by itself to what it is
+        among all others, and if all in a row are still one pre-token.
+        """
+
+        def pieces(text: str) -> list[str]:
+            normal = self.whole.normalizer.normalize_str(text) if self.whole.normalizer else text
+            return [p for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(normal)]
+
+        letters = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))]
+        alone = {c: p[0] for c in letters if len(p := pieces(c)) == 1}
+        whole = [pieces("".join(row)) for row in (alone, [*alone][::-1])]
+        if whole != [["".join(alone.values())], ["".join([*alone.values()][::-1])]]:
+            alone = {}
+        marks = [m for m in ".,;:!?" if alone and pieces(f"{next(iter(alone))}{m}") == [next(iter(alone.values())), m]]
+        self.symbols = str.maketrans(alone)
+        self.plain = re.compile(f"([{''.join(alone)}]+)([{re.escape(''.join(marks))}]?)" if marks else "(?!)")
+
+    def _word(self, symbols: str) -> tuple[int, str, str]:
+        """One pre-token, given as byte symbols; kept under a name that no run has."""
+        key = "\n" + symbols
+        got = self.cache.get(key) or self.older.get(key)
+        if got is None:
+            got = self._named(self.pretoken(symbols) if len(symbols) > self.leaf else self.final.encode(symbols, add_special_tokens=False).ids)
+        self._keep(key, got)
+        return got
+
+    def _named(self, ids: list[int]) -> tuple[int, str, str]:
+        if not ids:
+            return _NONE
+        names = [self.names[i] for i in ids]
+        tokens = " ".join([n[1] for n in names]) if self.joined_tokens else self.decode(ids)
+        return len(ids), " ".join([n[0] for n in names]), tokens
+
+    def _keep(self, key: str, got: tuple[int, str, str]) -> None:
+        if len(key) <= CACHED_CHARS:
+            if len(self.cache) >= CACHE:
+                self.older, self.cache = self.cache, {"": _NONE}
+            self.cache[key] = got
 
     def run(self, run: str) -> tuple[int, str, str]:
         """Count, ids and tokens (both joined by blanks) of a text without white space."""
         got = self.cache.get(run)
         if got is None:
-            ids = self._long(run) if len(run) > self.leaf else self.whole.encode(run, add_special_tokens=False).ids
-            got = (len(ids), " ".join(map(str, ids)), self.decode(ids) if ids else "")
-            if len(run) <= CACHED_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[run] = got
+            got = self.older.get(run)
+            if got is None:
+                if len(run) > self.leaf:
+                    got = self._named(self._long(run))
+                elif plain := self.plain.fullmatch(run):
+                    got = self._word(plain[1].translate(self.symbols))
+                    if plain[2]:
+                        mark = self.cache.get(plain[2]) or self.run(plain[2])
+                        got = got[0] + mark[0], f"{got[1]} {mark[1]}", f"{got[2]} {mark[2]}"
+                else:
+                    got = self._named(self.whole.encode(run, add_special_tokens=False).ids)
+            self._keep(run, got)
         return got
 
     def decode(self, ids: list[int]) -> str:
@@ -134,12 +190,17 @@ class Encoder:
 
     def text(self, text: str) -> tuple[int, str, str]:
         """Count, ids and tokens of a whole text."""
-        return self.joined(map(self.run, _BLANK.split(text)))
+        for blank in "\t\n\x0b\x0c\r":
+            text = text.replace(blank, " ")
+        known = self.cache.get
+        return self.joined([known(run) or self.run(run) for run in text.split(" ")])
 
     @staticmethod
-    def joined(parts) -> tuple[int, str, str]:
-        parts = [p for p in parts if p[0]]
-        return sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+    def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+        counts, ids, tokens = zip(*parts, strict=True)
+        if 0 in counts:  # of nothing, as between two blanks
+            ids, tokens = filter(None, ids), filter(None, tokens)
+        return sum(counts), " ".join(ids), " ".join(tokens)
 
 
 @lru_cache(1)
