@@ -168,31 +168,42 @@ def remember_translations(memory: DataFrame, uses: DataFrame, as_of: datetime) -
     """Translation memory after looking up every use.
 
     A text the memory lacks is stored as its own translation (the service is not
-    called); a known one keeps its translation.  Uses are counted per text, with
-    map-side combine.
+    called); a known one keeps its translation.  Uses are counted per hash, without
+    their texts, with map-side combine; a text is fetched only where it is new, from
+    the first posting that uses it.
     """
-    batch = uses.groupBy("source_text_hash").agg(
-        F.first("source_text").alias("source_text"),
-        F.count("*").cast("int").alias("usage_count"),
+    counts = uses.groupBy("source_text_hash").agg(
+        F.count("*").cast("int").alias("_uses"), F.min(F.struct("id", "field")).alias("_first")
     )
-    batch = batch.select(
-        "source_text_hash",
-        "source_text",
-        F.lit("fa").alias("source_language"),
-        F.lit("en").alias("target_language"),
-        F.col("source_text").alias("translated_text"),
-        F.lit(V.TRANSLATION_SERVICE).alias("translation_service"),
-        F.lit(V.TRANSLATION_CONFIDENCE).alias("translation_confidence"),
-        F.lit(as_of).cast("timestamp_ntz").alias("last_used_at"),
-        "usage_count",
+    stamp = F.lit(as_of).cast("timestamp_ntz")
+    used = F.col("_uses").isNotNull()
+    changed = {
+        # Only a null translation is replaced, by the text; an empty one stays stored.
+        "translated_text": F.when(used, F.coalesce("translated_text", "source_text")).otherwise(F.col("translated_text")),
+        "last_used_at": F.when(used, stamp).otherwise(F.col("last_used_at")),
+        "usage_count": F.when(used, F.coalesce("usage_count", F.lit(0)) + F.col("_uses")).otherwise(F.col("usage_count")),
+    }
+    kinds = {f.name: f.dataType for f in memory.schema.fields}
+    known = memory.join(counts.drop("_first"), "source_text_hash", "left").select(
+        *[changed.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in memory.columns]
     )
-    # Only a null translation is replaced; an empty one stays stored.
-    rules = {
-        "translated_text": lambda old, new: F.coalesce(old, new),
-        "last_used_at": take,
-        "usage_count": add,
+    new = counts.join(memory.select("source_text_hash"), "source_text_hash", "left_anti")
+    texts = uses.join(
+        new.select("source_text_hash", "_uses", "_first.id", "_first.field"), ["source_text_hash", "id", "field"]
+    )
+    given = {
+        "source_text_hash": F.col("source_text_hash"),
+        "source_text": F.col("source_text"),
+        "source_language": F.lit("fa"),
+        "target_language": F.lit("en"),
+        "translated_text": F.col("source_text"),
+        "translation_service": F.lit(V.TRANSLATION_SERVICE),
+        "translation_confidence": F.lit(V.TRANSLATION_CONFIDENCE),
+        "last_used_at": stamp,
+        "usage_count": F.col("_uses"),
     }
-    return keyed_merge(memory, batch, ["source_text_hash"], rules)
+    fresh = texts.select(*[given.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in memory.columns])
+    return known.unionByName(fresh)
 
 
 def known_translations(memory: DataFrame, uses: DataFrame, hot: Sequence = ()) -> DataFrame:

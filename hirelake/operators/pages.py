@@ -29,17 +29,21 @@ def store_pages(pages: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """Rows to append to the page store.
 
     A repeat keeps its hash and size but not its text.  The join back is on the
-    page id, unique on both sides, so equal pages never meet in one task.
+    page id, unique on both sides, so equal pages never meet in one task; it is with
+    the repeats, mostly few, so that Spark may broadcast them under its own size check
+    and leave the pages where they are.
     """
-    winners = content_winners(pages, store).withColumn("_new", F.lit(True))
+    repeats = (
+        pages.select("id").join(content_winners(pages, store), "id", "left_anti").withColumn("_repeat", F.lit(True))
+    )
     html = F.col("raw_html")
     # The hash and the size come from the text before it is blanked.
     measured = pages.withColumns(
         {"content_hash": content_hash(html), "html_size": byte_size(html)}
     )
     return (
-        measured.join(winners, "id", "left")
-        .withColumn("is_duplicate", F.col("_new").isNull())
-        .withColumn("raw_html", F.when(F.col("_new"), html).otherwise(""))
-        .drop("_new")
+        measured.join(repeats, "id", "left")
+        .withColumn("is_duplicate", F.col("_repeat").isNotNull())
+        .withColumn("raw_html", F.when(F.col("_repeat"), F.lit("")).otherwise(html))
+        .drop("_repeat")
     )
