@@ -37,15 +37,29 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame, what: str) -> DataFrame:
     """``df`` written once to the shared folder and read again: computed once, and
     whole after an executor is lost."""
-    path = f"{shared_folder(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Stages(df.sparkSession).add(df, what)
 
 
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by this library."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+class Stages:
+    """Tables written on the way to a result; ``clear`` deletes those no longer read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def add(self, df: DataFrame, what: str) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/{what}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, keep: int = 0) -> None:
+        """Delete all but the last ``keep``."""
+        gone = self.paths[: len(self.paths) - keep]
+        for path in gone:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self.paths = self.paths[len(gone) :]
 
 
 def portions(items: Iterator, weight, limit: int) -> Iterator[list]:

@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import staged
+from hirelake.llm.common import Stages
 
 
-def _least(links: DataFrame) -> DataFrame:
-    return staged(links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-
-
-def _star(links: DataFrame, large: bool) -> DataFrame:
+def _star(links: DataFrame, large: bool, stages: Stages) -> DataFrame:
     """Each node's neighbours on one side are linked to its least neighbour.
 
     The least neighbours are written first, so that both sides of the join are plain
     exchanges, whose large partitions (the hub of a star) Spark splits.
     """
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else links
-    joined = both.join(_least(both), "u")
+    least = stages.add(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+    joined = both.join(least, "u")
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -34,17 +31,21 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
 
     The root is the smallest node of the component.  Each round is written to the
     shared folder and read again, so lineage stays short and a lost executor costs one
-    round.  Links with a null end or of a node with itself say nothing; no links give
+    round; what earlier rounds wrote is deleted.  Links with a null end or of a node with itself say nothing; no links give
     no rows.  Raises if ``rounds`` don't settle the graph, rather than return parts.
     """
     down = lambda df: df.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = staged(down(links.where("u <> v")).distinct(), "links")
+    stages = Stages(links.sparkSession)
+    now = stages.add(down(links.where("u <> v")).distinct(), "links")
     print_of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     before = print_of(now)
     for _ in range(rounds):
         if before[0] == 0:
             break
-        now = staged(_star(down(_star(now, large=True)), large=False), "links")
+        # The first star is written too, as the second reads it twice.
+        wide = stages.add(down(_star(now, True, stages)), "star")
+        now = stages.add(_star(wide, False, stages), "links")
+        stages.clear(keep=1)
         after = print_of(now)
         if after == before:
             break

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelake.llm.common import portions, staged, table
+from hirelake.llm.common import Stages, portions, table
 
 ORDER = 4
 #: Quantile of the trusted perplexities over which a document is rejected.
@@ -252,6 +252,7 @@ def perplexities(
     max_trusted: int = MAX_TRUSTED,
     hold_out: int = HOLD_OUT,
     returns: list[str] | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """``docs`` with n_scored (characters), perplexity and calibrates (boolean); of the
     columns of ``docs`` only ``returns``, if given.
@@ -271,11 +272,12 @@ def perplexities(
     base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).join(
         F.broadcast(ids.select("__id", (~role).alias("__train"))), F.col(f"`{doc_id}`") == F.col("__id"), "left"
     ).drop("__id")
-    asked = staged(
+    stages = stages or Stages(docs.sparkSession)
+    asked = stages.add(
         base.mapInArrow(lambda b: _asked(b, text, lang, order), "block long, lang string, gram string, n long"), "asked"
     )
-    totals = staged(asked.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
-    model = staged(log_probabilities(totals, totals.where("n > 0"), order), "model")
+    totals = stages.add(asked.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
+    model = stages.add(log_probabilities(totals, totals.where("n > 0"), order), "model")
     answers = asked.select("block", "lang", "gram").join(model, ["lang", "gram"])
     packed = base.mapInArrow(lambda b: _packed(b, text), "block long, rows binary")
     names = [c for c in base.columns if c == "__train" or returns is None or c in returns]
@@ -323,7 +325,11 @@ def classify(
     replaced.
     """
     clean = docs.drop("steadied", "limit", "kept", "__lang", "__usual")
-    scored = staged(perplexities(clean, trusted, doc_id, text, lang, order, max_trusted, hold_out, returns), "scored")
+    stages = Stages(docs.sparkSession)
+    scored = stages.add(
+        perplexities(clean, trusted, doc_id, text, lang, order, max_trusted, hold_out, returns, stages), "scored"
+    )
+    stages.clear(keep=1)
     language = F.coalesce(F.col(f"`{lang}`"), F.lit(""))
     tells = F.col("calibrates") & F.col("perplexity").isNotNull()
     # One row for each language, here and below.

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_digest
 
-from hirelake.llm.common import LOWER, staged, table
+from hirelake.llm.common import LOWER, Stages, staged, table
 from hirelake.llm.components import components
 
 RADIUS, SHINGLE, PIECES, CHUNK = 3, 3, 5, 4096
@@ -253,14 +253,16 @@ def simhash_groups(
     are not read.  An empty table gives no rows.
     """
     rows = staged(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    least = staged(rows.groupBy("fp").agg(F.min("doc").alias("doc")), "distinct")
-    roots = staged(components(links(least.select("fp"), radius, pieces, chunk)), "roots")
+    stages = Stages(docs.sparkSession)
+    least = stages.add(rows.groupBy("fp").agg(F.min("doc").alias("doc")), "distinct")
+    roots = stages.add(components(links(least.select("fp"), radius, pieces, chunk)), "roots")
     joined = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "doc", F.coalesce("root", "fp").alias("root")
     )
-    joined = staged(joined, "rooted")
+    joined = stages.add(joined, "rooted")
     named = joined.groupBy("root").agg(F.min("doc").alias("component"))
     final = staged(joined.select("fp", "root").join(named, "root").select("fp", "component"), "components")
+    stages.clear()
     return rows.join(final, "fp").select("doc", "row", "fp", "component")
 
 
