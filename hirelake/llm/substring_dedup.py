@@ -6,9 +6,10 @@ its chunks are the same.  Chunks are compared by a 128-bit digest across all doc
 a run of chunks that other documents hold too is a repeat, and all but the document
 with the smallest id lose it.
 
-(digest, document) rows are counted with map-side sums; the digests held more than once
-are repeated over salts for the way back, so a passage that a third of the documents
-hold is nobody's hot key.
+(digest, document) rows are counted with map-side sums.  On the way back the digests that
+very many documents hold, of which there can be only so many, are broadcast, and just the
+others are joined by a shuffle: a passage that a third of the documents hold is nobody's
+hot key.
 """
 
 from __future__ import annotations
@@ -23,13 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest, xxh32_intdigest
 
-from hirelake.llm.common import table
+from hirelake.llm.common import Stages, table
 
 #: A chunk's bytes: at least, at most; it ends where so many bits of the hash are 0.
 LEAST, MOST, BITS = 16, 128, 5
 #: Bytes that a run of repeated chunks must have to be a repeat.
 MIN_RUN = 80
-SALTS = 32
+#: Of the rows of shared digests, a digest with more than this share is broadcast; so at
+#: most one by this many are.
+HOT_SHARE = 1 / 100_000
+#: Rows that a digest has at least to be broadcast.
+HOT_ROWS = 1000
 
 #: The gear table, one number for each byte, from a hash of the byte.
 GEAR = np.array([xxh32_intdigest(bytes([b]), 7) for b in range(256)], np.uint32)
@@ -127,7 +132,7 @@ def judged(text: str, shared: list[int], first: list[bool], min_run: int = MIN_R
 
 
 def substring_dedup(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN, salts: int = SALTS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """(doc, n_chunks, n_repeated, repeated_bytes, removed_bytes, kept_text) of each row.
 
@@ -141,15 +146,27 @@ def substring_dedup(
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = docs.schema[doc_id].dataType
     held = rows.mapInArrow(_held, T.StructType([T.StructField("doc", kind), *[T.StructField(n, T.LongType()) for n in ("h1", "h2")]]))
-    shared = (
+    stages = Stages(docs.sparkSession)
+    shared = stages.add(
         held.groupBy("h1", "h2")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.max(F.col("doc").isNull()).alias("none"))
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.max(F.col("doc").isNull()).alias("none"), F.count("*").alias("rows"))
         .where((F.col("least") < F.col("most")) | (F.col("none") & F.col("least").isNotNull()))
-        .select("h1", "h2", "least", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        .select("h1", "h2", "least", "rows"),
+        "shared",
     )
+    limit = max(hot_rows, int(hot_share * (shared.agg(F.sum("rows")).first()[0] or 0)))
+    # At most 1 / hot_share digests have so many of the rows.
+    hot = F.broadcast(shared.where(F.col("rows") > limit).select("h1", "h2", F.col("least").alias("hot")))
+    cold = shared.where(F.col("rows") <= limit).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "least")
+    # Rows that the broadcast has answered are spread; what they meet there isn't theirs.
+    known = F.col("hot").isNotNull()
+    k1 = F.when(known, F.xxhash64("doc", "h1")).otherwise(F.col("h1"))
     found = (
-        held.withColumn("salt", F.pmod(F.hash("doc"), F.lit(salts)))
-        .join(shared, ["h1", "h2", "salt"])
+        held.join(hot, ["h1", "h2"], "left")
+        .withColumn("p1", k1)
+        .join(cold, (F.col("p1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("hot").isNull(), "left")
+        .withColumn("least", F.coalesce("hot", "least"))
+        .where("least is not null")
         .groupBy("doc")
         .agg(F.collect_set(F.struct("h1", F.col("doc").eqNullSafe(F.col("least")).alias("first"))).alias("shared"))
         .withColumnRenamed("doc", "__doc")

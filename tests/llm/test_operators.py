@@ -468,6 +468,8 @@ def test_substring_dedup(spark):
     texts += [(200, None), (201, ""), (202, sentence(rng, 40, al) + passage), (3, texts[3][1]), (None, passage)]
     docs = documents(spark, texts, "shared first h1 least salt")
     made = substring_dedup.substring_dedup(docs).collect()
+    # With digests of three rows and more broadcast, all is the same.
+    assert Counter(made) == Counter(substring_dedup.substring_dedup(docs, hot_rows=2).collect())
     body = dict(texts)
     assert len(made) == len(texts)
     for r in made:
