@@ -31,8 +31,8 @@ from hirelake.llm.common import portions, staged, table
 LEAF = 64
 #: Characters of a text that one task encodes.
 SPREAD = 32_768
-#: Runs in each of the two generations that a Python worker keeps.
-CACHE = 250_000
+#: Runs in each of the two generations that a task keeps.
+CACHE = 150_000
 #: A run's text that is kept at most, so that the cache's size is bounded.
 CACHED_CHARS = 256
 
@@ -81,6 +81,11 @@ class Encoder:
         self.joins = 0
         self._learn_plain()
 
+    def forget(self) -> None:
+        """Give back what a task kept: the worker may live on, idle."""
+        self.cache, self.older = {"": _NONE}, {}
+        pa.default_memory_pool().release_unused()
+
     def _learn_plain(self) -> None:
         """Ask the tokenizer for letters that it takes one by one, and for marks that it
         sets apart from them: words of such letters need only the model.
@@ -291,6 +296,7 @@ def encode(
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 yield batch_of(part.column(0), [encoder.text(t) for t in part.column(1).to_pylist()])
+        encoder.forget()
 
     def slices(batches: Iterator[pa.RecordBatch]):
         encoder = _encoder(shared.value, leaf)
@@ -301,6 +307,7 @@ def encode(
                     [{"row": row, "at": at} | _encoded_slice(encoder, part) for row, at, part in held],
                     schema=pa.schema([("row", pa.int64()), ("at", pa.int32()), ("solid", pa.bool_()), *((n, pa.string()) for n in ("head", "tail")), ("n", pa.int64()), ("ids", pa.string()), ("tokens", pa.string())]),
                 )
+        encoder.forget()
 
     def combine(batches: Iterator[pa.RecordBatch]):
         encoder = _encoder(shared.value, leaf)
@@ -318,6 +325,7 @@ def encode(
                 held.append(r)
         if held:
             yield from made([done()])
+        encoder.forget()
 
     def made(rows: list[dict]):
         part = batch_of(pa.array([r["row"] for r in rows], pa.int64()), [(r["n_tokens"], r["ids"], r["decoded"]) for r in rows])

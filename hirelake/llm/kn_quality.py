@@ -284,7 +284,9 @@ def perplexities(
     out = T.StructType([*[base.schema[c] for c in names], T.StructField("n_scored", T.LongType()), T.StructField("log_prob", T.DoubleType())])
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
-        return pa.concat_tables(_scored(rows, found, text, lang, order, names))
+        made = pa.concat_tables(_scored(rows, found, text, lang, order, names))
+        pa.default_memory_pool().release_unused()
+        return made
 
     # Each block has rows; answers without rows can't be, as blocks ask for what is in them.
     scored = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, out)
