@@ -36,8 +36,8 @@ QUANTILE = 0.995
 SLACK = 1.5
 #: Characters at the usual perplexity that are added to each text.
 PRIOR = 100
-#: Trusted documents that the model is trained on, at most; their ids are broadcast.
-MAX_TRUSTED = 1_000_000
+#: Trusted ids in one broadcast; there are as many broadcasts as it takes for all of them.
+SHARD_TRUSTED = 1_000_000
 #: Of the trusted documents, one in so many sets the thresholds instead of training.
 HOLD_OUT = 5
 #: Characters of a block and of a portion that is worked on at once.
@@ -249,7 +249,7 @@ def perplexities(
     text: str = "text",
     lang: str = "lang",
     order: int = ORDER,
-    max_trusted: int = MAX_TRUSTED,
+    shard_trusted: int = SHARD_TRUSTED,
     hold_out: int = HOLD_OUT,
     returns: list[str] | None = None,
     stages: Stages | None = None,
@@ -257,22 +257,26 @@ def perplexities(
     """``docs`` with n_scored (characters), perplexity and calibrates (boolean); of the
     columns of ``docs`` only ``returns``, if given.
 
-    ``trusted`` is a table of trusted ids, in a column called like ``doc_id``.  Over
-    ``max_trusted`` of them, those with the smallest hashes serve.  The documents must
-    be a table that reads alike each time, as Parquet does; they are read twice.
+    ``trusted`` is a table of trusted ids, in a column called like ``doc_id``; all of them
+    serve, in broadcasts of about ``shard_trusted`` ids, so that documents stay where they
+    are read.  The documents must be a table that reads alike each time, as Parquet does;
+    they are read twice.
     """
     if not 2 <= order <= len(_FACTORS):
         raise ValueError(f"the order must be 2 to {len(_FACTORS)}")
-    added = ("n_scored", "perplexity", "calibrates", "log_prob", "__train", "__id")
+    added = ("n_scored", "perplexity", "calibrates", "log_prob", "__train", "__id", "__own")
     ids = trusted.select(F.col(f"`{doc_id}`").alias("__id")).where("__id is not null").distinct()
-    n = ids.count()
-    share = F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1 << 20))
-    ids = ids.where(share < max(1, int((1 << 20) * min(1.0, max_trusted / max(n, 1)))))
-    role = F.pmod(F.xxhash64("__id", F.lit("fold")), F.lit(hold_out)) == 0
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).join(
-        F.broadcast(ids.select("__id", (~role).alias("__train"))), F.col(f"`{doc_id}`") == F.col("__id"), "left"
-    ).drop("__id")
     stages = stages or Stages(docs.sparkSession)
+    shards = max(1, -(-ids.count() // shard_trusted))
+    role = F.pmod(F.xxhash64("__id", F.lit("fold")), F.lit(hold_out)) == 0
+    shard = F.pmod(F.xxhash64("__id", F.lit("shard")), F.lit(shards))
+    dealt = stages.add(ids.select("__id", (~role).alias("__own"), shard.alias("__shard")), "trusted")
+    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).withColumn("__train", F.lit(None).cast("boolean"))
+    for i in range(shards):
+        part = dealt.where(F.col("__shard") == i).select("__id", "__own")
+        base = base.join(F.broadcast(part), F.col(f"`{doc_id}`") == F.col("__id"), "left").withColumn(
+            "__train", F.coalesce("__train", "__own")
+        ).drop("__id", "__own")
     asked = stages.add(
         base.mapInArrow(lambda b: _asked(b, text, lang, order), "block long, lang string, gram string, n long"), "asked"
     )
@@ -307,7 +311,7 @@ def classify(
     quantile: float = QUANTILE,
     slack: float = SLACK,
     prior: int = PRIOR,
-    max_trusted: int = MAX_TRUSTED,
+    shard_trusted: int = SHARD_TRUSTED,
     hold_out: int = HOLD_OUT,
     returns: list[str] | None = None,
 ) -> DataFrame:
@@ -329,7 +333,7 @@ def classify(
     clean = docs.drop("steadied", "limit", "kept", "__lang", "__usual")
     stages = Stages(docs.sparkSession)
     scored = stages.add(
-        perplexities(clean, trusted, doc_id, text, lang, order, max_trusted, hold_out, returns, stages), "scored"
+        perplexities(clean, trusted, doc_id, text, lang, order, shard_trusted, hold_out, returns, stages), "scored"
     )
     stages.clear(keep=1)
     language = F.coalesce(F.col(f"`{lang}`"), F.lit(""))
