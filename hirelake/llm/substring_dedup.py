@@ -2,7 +2,8 @@
 
 A gear rolling hash over the bytes decides where chunks end, so a passage is cut alike
 wherever it stands and whatever was inserted before it: after the first boundary in it
-its chunks are the same.  Chunks are compared by a 128-bit digest across all documents;
+its chunks are the same.  Chunks are compared by a 64-bit digest across all documents (a
+repeat has two chunks or more, so a chance hit alone makes none);
 a run of chunks that other documents hold too is a repeat, and all but the document
 with the smallest id lose it.
 
@@ -22,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh3_128_digest, xxh32_intdigest
+from xxhash import xxh3_64_digest, xxh32_intdigest
 
 from hirelake.llm.common import Stages, table
 
-#: A chunk's bytes: at least, at most; it ends where so many bits of the hash are 0.
-LEAST, MOST, BITS = 16, 128, 5
+#: A chunk's bytes: at least, at most; it ends where so many bits of the hash are 0, which
+#: tell of the last WINDOW bytes.  So a passage of 50 words holds several whole chunks.
+LEAST, MOST, BITS, WINDOW = 8, 48, 4, 8
 #: Bytes that a run of repeated chunks must have to be a repeat.
 MIN_RUN = 80
 #: Of the rows of shared digests, a digest with more than this share is broadcast; so at
@@ -53,19 +55,25 @@ def rolling(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def ends(raw: bytes, least: int = LEAST, most: int = MOST, bits: int = BITS) -> list[int]:
-    """Where the chunks of a UTF-8 text end; never inside a character."""
+def ends(raw: bytes, least: int = LEAST, most: int = MOST, bits: int = BITS, window: int = WINDOW) -> list[int]:
+    """Where the chunks of a UTF-8 text end; never inside a character.
+
+    Without an end for ``most`` bytes, the least hash says where to cut, so text that
+    repeats itself is cut alike wherever it stands, too.
+    """
     if not raw:
         return []
     data = np.frombuffer(raw, np.uint8)
-    ends_here = (rolling(data) >> np.uint32(32 - bits)) == 0
-    ends_here[:-1] &= (data[1:] & 0xC0) != 0x80
+    # Bit b of the hash tells of the last b + 1 bytes.
+    own = rolling(data) << np.uint32(32 - window)
+    whole = np.append((data[1:] & 0xC0) != 0x80, True)
+    ends_here = (own >> np.uint32(32 - bits) == 0) & whole
+    own = np.where(whole, own, np.uint32(0xFFFFFFFF))
     out, last = [], 0
     for end in [*(np.flatnonzero(ends_here) + 1).tolist(), len(raw)]:
         while end - last > most:
-            cut = last + most
-            while raw[cut] & 0xC0 == 0x80:
-                cut -= 1
+            begin = last + least - 1
+            cut = begin + int(own[begin : last + most].argmin()) + 1
             out.append(cut)
             last = cut
         if end - last >= least:
@@ -77,26 +85,23 @@ def ends(raw: bytes, least: int = LEAST, most: int = MOST, bits: int = BITS) ->
 
 
 def chunked(raw: bytes) -> tuple[list[int], bytes]:
-    """The chunks' ends, and their digests of 16 bytes, joined."""
+    """The chunks' ends, and their digests of 8 bytes, joined."""
     stops = ends(raw)
-    return stops, b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip([0, *stops], stops, strict=False)])
+    return stops, b"".join([xxh3_64_digest(raw[a:b]) for a, b in zip([0, *stops], stops, strict=False)])
 
 
 def _held(batches: Iterator[pa.RecordBatch]):
-    """(doc, h1, h2) for each distinct chunk of a row."""
+    """(doc, h1) for each distinct chunk of a row."""
     for batch in batches:
         for start in range(0, batch.num_rows, 128):
             part = batch.slice(start, 128)
-            ids, h1, h2 = [], [], []
+            ids, h1 = [], []
             for i, text in enumerate(part.column(1).to_pylist()):
                 _, digests = chunked(text.encode("utf-8", "surrogatepass"))
-                pairs = set(iter_unpack("<qq", digests))
-                ids.extend([i] * len(pairs))
-                h1.extend(p[0] for p in pairs)
-                h2.extend(p[1] for p in pairs)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(ids, pa.int64())), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], ["doc", "h1", "h2"]
-            )
+                own = {h for (h,) in iter_unpack("<q", digests)}
+                ids.extend([i] * len(own))
+                h1.extend(own)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ids, pa.int64())), pa.array(h1, pa.int64())], ["doc", "h1"])
 
 
 _FOUND = {"n_chunks": T.LongType(), "n_repeated": T.LongType(), "repeated_bytes": T.LongType(), "removed_bytes": T.LongType(), "kept_text": T.StringType()}
@@ -110,7 +115,7 @@ def judged(text: str, shared: list[int], first: list[bool], min_run: int = MIN_R
         return {"n_chunks": len(ends(raw)), "n_repeated": 0, "repeated_bytes": 0, "removed_bytes": 0, "kept_text": text}
     stops, digests = chunked(raw)
     known = dict(zip(shared, first, strict=True))
-    marks = [known.get(h1) for h1, _ in iter_unpack("<qq", digests)]
+    marks = [known.get(h1) for (h1,) in iter_unpack("<q", digests)]
     n = repeated = removed = 0
     kept, i, done = [], 0, 0
     starts = [0, *stops]
@@ -145,26 +150,26 @@ def substring_dedup(
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = docs.schema[doc_id].dataType
-    held = rows.mapInArrow(_held, T.StructType([T.StructField("doc", kind), *[T.StructField(n, T.LongType()) for n in ("h1", "h2")]]))
+    held = rows.mapInArrow(_held, T.StructType([T.StructField("doc", kind), T.StructField("h1", T.LongType())]))
     stages = Stages(docs.sparkSession)
     shared = stages.add(
-        held.groupBy("h1", "h2")
+        held.groupBy("h1")
         .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.max(F.col("doc").isNull()).alias("none"), F.count("*").alias("rows"))
         .where((F.col("least") < F.col("most")) | (F.col("none") & F.col("least").isNotNull()))
-        .select("h1", "h2", "least", "rows"),
+        .select("h1", "least", "rows"),
         "shared",
     )
     limit = max(hot_rows, int(hot_share * (shared.agg(F.sum("rows")).first()[0] or 0)))
     # At most 1 / hot_share digests have so many of the rows.
-    hot = F.broadcast(shared.where(F.col("rows") > limit).select("h1", "h2", F.col("least").alias("hot")))
-    cold = shared.where(F.col("rows") <= limit).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "least")
+    hot = F.broadcast(shared.where(F.col("rows") > limit).select("h1", F.col("least").alias("hot")))
+    cold = shared.where(F.col("rows") <= limit).select(F.col("h1").alias("k1"), "least")
     # Rows that the broadcast has answered are spread; what they meet there isn't theirs.
     known = F.col("hot").isNotNull()
     k1 = F.when(known, F.xxhash64("doc", "h1")).otherwise(F.col("h1"))
     found = (
-        held.join(hot, ["h1", "h2"], "left")
+        held.join(hot, "h1", "left")
         .withColumn("p1", k1)
-        .join(cold, (F.col("p1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("hot").isNull(), "left")
+        .join(cold, (F.col("p1") == F.col("k1")) & F.col("hot").isNull(), "left")
         .withColumn("least", F.coalesce("hot", "least"))
         .where("least is not null")
         .groupBy("doc")
