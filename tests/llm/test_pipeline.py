@@ -14,7 +14,7 @@ from workload.compare import compare, duck
 
 def test_registration():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert names["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
 
@@ -25,7 +25,7 @@ def test_matches_sql(spark, sf_dir, name):
     assert ok, note
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op12_whitening"}))
 def test_every_document_has_a_row(spark, sf_dir, name):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert sorted(r.doc_id for r in QUERIES[name](spark, sf_dir).collect()) == sorted(r.doc_id for r in docs.collect())
