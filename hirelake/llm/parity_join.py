@@ -11,8 +11,8 @@ bit say little: a set with no more than ``spare`` of them need not be found by o
 piece is kept as the xor of its set bits' hashes, which is 0 for no bits and alike for alike bits.
 
 Sets that share a piece are a bucket.  Its members are compared with its least member
-first; where members are still in different components after that, all pairs across
-components are compared, in chunks.  A comparison is by a short sketch, whose distance
+first; where members are still in different components after that, pairs across
+components are compared, in chunks, until none is left that could join two.  A comparison is by a short sketch, whose distance
 too is a lower bound, and then exact by the shingles.  Sets that repeat count once
 everywhere.  Buckets are never capped: tasks combine a bucket's members in blocks before
 the shuffle, so a bucket of a third of all rows has a row a block there.
@@ -40,6 +40,8 @@ SHINGLE, PERCENT = 4, 85
 PIECE_BITS, SHORT_BITS = 1 << 16, 2048
 #: Members of a bucket compared in one group, members of a centre compared in one task.
 CHUNK, FOLLOWERS = 1024, 2048
+#: Tasks over which a component is spread at least where its name is looked up.
+SALTS = 32
 #: Entries that a task combines before it sends them.
 BLOCK = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -239,21 +241,31 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) of different components that short sketches allow, from groups of
-    (piece, x, y, side, id, n, root, sketch): side 0 meets 1, side 2 meets itself."""
+    (piece, x, y, side, id, n, root, sketch, apart): side 0 meets 1, side 2 meets itself.
+
+    Components that a sent pair may join count as one from there on, so a group sends
+    fewer pairs than it has components.  ``apart`` has ids known not to be linked.
+    """
     for group in _groups(b for b in batches if b.num_rows):
-        side, ids, n, root = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
-        words = _words(group.column(7).combine_chunks())
-        whole = side[0] == 2
-        left, right = (np.flatnonzero(side != 1), np.flatnonzero(side != 0))
-        for i in left:
-            other = right[ids[right] > ids[i]] if whole else right
-            other = other[root[other] != root[i]]
-            fits = 100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])
-            other = other[fits]
-            other = other[_distance(words[other], words[i]) <= most_apart(n[other] + n[i], percent)]
+        side, ids, n, label = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
+        words, apart = _words(group.column(7).combine_chunks()), group.column(8).to_pylist()
+        label, sent = label.copy(), [[], []]
+        right = np.flatnonzero(side != 0)
+        for i in np.flatnonzero(side != 1):
+            other = right[label[right] != label[i]]
+            other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
+            if apart[i]:
+                other = other[~np.isin(ids[other], apart[i])]
+            distance = _distance(words[other], words[i])
+            near = distance <= most_apart(n[other] + n[i], percent)
+            other = other[near][np.argsort(distance[near], kind="stable")]
             if len(other):
-                u, v = np.minimum(ids[other], ids[i]), np.maximum(ids[other], ids[i])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                _, first = np.unique(label[other], return_index=True)
+                for j in other[first]:
+                    sent[0].append(min(ids[i], ids[j]))
+                    sent[1].append(max(ids[i], ids[j]))
+                label[np.isin(label, label[other])] = label[i]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in sent], ["u", "v"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -273,8 +285,14 @@ def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
     return dealt.mapInArrow(lambda batches: _verified(batches, shingle, percent), "u long, v long")
 
 
-def _residual(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, chunk: int, stages: Stages) -> DataFrame:
-    """Pairs of different components that share a bucket of three or more and may be linked."""
+def _residual(
+    buckets: DataFrame, classes: DataFrame, roots: DataFrame, apart: DataFrame, percent: int, chunk: int, stages: Stages
+) -> DataFrame:
+    """Pairs of different components that share a bucket of three or more and may be linked.
+
+    Where there are such pairs that are not ``apart`` (u, v), some are found, and at most as
+    many in a group of a bucket as it has members.
+    """
     part = buckets.join(classes.select("node", "id"), "node").join(roots, F.col("id") == F.col("node_id"), "left").select(
         "piece", "id", F.coalesce("root", "id").alias("root")
     )
@@ -287,14 +305,17 @@ def _residual(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percent:
     once = crowds.groupBy("many", "s1", "s2").agg(F.min("piece").alias("piece")).select(
         "piece", F.ceil(F.col("many") / chunk).cast("int").alias("chunks")
     )
-    members = placed.join(once, "piece").join(classes.select("id", "n", "sketch"), "id").withColumn(
+    both = apart.unionByName(apart.select(F.col("u").alias("v"), F.col("v").alias("u")))
+    tested = both.groupBy(F.col("u").alias("id")).agg(F.collect_list("v").alias("apart"))
+    known = classes.select("id", "n", "sketch").join(tested, "id", "left")
+    members = placed.join(once, "piece").join(known, "id").withColumn(
         "c", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     )
     # Chunk c meets every chunk of its bucket, itself included.
     dealt = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "piece", F.least("c", "o").alias("x"), F.greatest("c", "o").alias("y"),
         F.when(F.col("c") == F.col("o"), 2).when(F.col("c") < F.col("o"), 0).otherwise(1).alias("side"),
-        "id", "n", "root", "sketch",
+        "id", "n", "root", "sketch", "apart",
     ).repartition("piece", "x", "y").sortWithinPartitions("piece", "x", "y")
     return dealt.mapInArrow(lambda batches: _across(batches, percent), "u long, v long").distinct()
 
@@ -350,11 +371,17 @@ def jaccard_groups(
 
     links = verified(near)
     found = stages.add(components(links), "roots")
-    roots = found.withColumnRenamed("node", "node_id")
     buckets = members.select("piece", "node").union(members.select("piece", F.col("least").alias("node"))).distinct()
-    more = stages.add(_residual(buckets, classes, roots, percent, chunk, stages), "residual")
-    if not more.isEmpty():
-        found = stages.add(components(links.unionByName(verified(more))), "roots")
+    apart = near.limit(0)
+    while True:
+        roots = found.withColumnRenamed("node", "node_id")
+        more = stages.add(_residual(buckets, classes, roots, apart, percent, chunk, stages), "residual")
+        if more.isEmpty():
+            break
+        links = verified(more)
+        apart = apart.unionByName(stages.add(more.join(links, ["u", "v"], "left_anti"), "apart"))
+        joined = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links)
+        found = stages.add(components(joined), "roots")
 
     # Each set's least document, then each component's.
     sets = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc").alias("doc"))
@@ -362,13 +389,16 @@ def jaccard_groups(
         F.col("node").alias("h1"), "h2", F.coalesce("root", "id").alias("root")
     )
     joined = stages.add(sets.join(linked, ["h1", "h2"], "left"), "sets")
-    firsts = joined.where("root is not null").groupBy("root").agg(F.min("doc").alias("first"))
-    named = joined.join(firsts, "root", "left").select(
-        "h1", "h2", F.when(F.col("root").isNull(), F.col("doc")).otherwise(F.col("first")).alias("component")
+    alone = joined.where("root is null").select("h1", "h2", F.col("doc").alias("component"))
+    # One component may hold most sets: its name is repeated, so they stay spread.
+    firsts = joined.where("root is not null").groupBy("root").agg(F.min("doc").alias("component")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
-    apart = rows.where("n = 0").select("doc", "n", F.col("doc").alias("component"))
+    salted = joined.where("root is not null").withColumn("salt", F.pmod(F.col("h2"), F.lit(SALTS)).cast("int"))
+    named = alone.unionByName(salted.join(firsts, ["root", "salt"]).select("h1", "h2", "component"))
+    empty = rows.where("n = 0").select("doc", "n", F.col("doc").alias("component"))
     out = rows.where("n > 0").select("doc", "n", "h1", "h2").join(named, ["h1", "h2"]).select("doc", "n", "component")
-    final = stages.add(out.unionByName(apart), "jaccard")
+    final = stages.add(out.unionByName(empty), "jaccard")
     stages.clear(keep=1)
     return final
 
