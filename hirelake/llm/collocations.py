@@ -16,7 +16,9 @@ numpy and send each block's distinct phrases with their counts into the shuffle.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -167,21 +169,31 @@ def bitmap_of(phrases: DataFrame, bits: int = BITS) -> np.ndarray:
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
     )
     whole = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
-    for row in buckets.toLocalIterator():
+    for row in buckets.collect():  # 2^bits bits at most
         whole[4096 * (row["bucket"] - 1) : 4096 * row["bucket"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return whole
 
 
-def _phrases(texts: DataFrame, lengths: range, known=None, before=None, bits: int = BITS, block: int = BLOCK) -> DataFrame:
-    """(lang, phrase, f) of all phrases that the pass counts, f over all of ``texts``."""
+@contextmanager
+def _counting(texts: DataFrame, known: np.ndarray, before: np.ndarray | None, bits: int, block: int):
+    """Gives a function of lengths that gives (lang, phrase, f): all phrases of those lengths
+    that the pass counts, f over all of ``texts``.  What it gives is good within the context."""
     context = texts.sparkSession.sparkContext
-    sent = [None if b is None else context.broadcast(b) for b in (known, before)]
+    sent = [None if b is None else context.broadcast(zlib.compress(b.tobytes(), 1)) for b in (known, before)]
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        yield from _Counter(lengths, *(None if b is None else b.value for b in sent), bits).run(batches, block)
+    def counted(lengths: range) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]):
+            bitmaps = [None if b is None else np.frombuffer(zlib.decompress(b.value), np.uint8) for b in sent]
+            yield from _Counter(lengths, *bitmaps, bits).run(batches, block)
 
-    parts = texts.mapInArrow(run, "lang string, phrase string, f long")
-    return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        return texts.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+    try:
+        yield counted
+    finally:
+        for b in sent:
+            if b is not None:
+                b.destroy()
 
 
 def _length() -> F.Column:
@@ -209,19 +221,20 @@ def frequent_phrases(
     texts = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text")
     )
-    how = {"bits": bits, "block": block}
     drawn = texts.where(F.rand(11) < sample)
     asked = max(1, int(min_count * sample * LOWERED))
     known = np.zeros(max(4096, 1 << (bits - 3)), np.uint8)
     for k in range(1, longest):
-        found = _phrases(drawn, range(k, k + 1), known, **how).where((F.col("f") >= asked) & (F.col("phrase") != ""))
-        known = known | bitmap_of(found, bits)
+        with _counting(drawn, known, None, bits, block) as counted:
+            found = counted(range(k, k + 1)).where((F.col("f") >= asked) & (F.col("phrase") != ""))
+            known = known | bitmap_of(found, bits)
 
     before, tables = None, []
     while True:
-        lengths = range(1 if before is None else 2, longest + 1)
-        counted = _phrases(texts, lengths, known, before, **how).where((F.col("f") >= min_count) | (F.col("phrase") == ""))
-        tables.append(stages.add(counted.withColumn("k", _length()), "phrases"))
+        with _counting(texts, known, before, bits, block) as counted:
+            lengths = range(1 if before is None else 2, longest + 1)
+            kept = counted(lengths).where((F.col("f") >= min_count) | (F.col("phrase") == ""))
+            tables.append(stages.add(kept.withColumn("k", _length()), "phrases"))
         found = bitmap_of(tables[-1].where((F.col("k") > 0) & (F.col("k") < longest)), bits)
         if not (found & ~known).any():  # the border has held
             break
