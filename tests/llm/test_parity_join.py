@@ -5,8 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from hirelake.llm import parity_join
-from hirelake.llm.near_copies import shingles
+from hirelake.llm import jaccard, parity_join
+from hirelake.llm.jaccard import shingles
 
 
 def brute_set(text, shingle=4):
@@ -76,7 +76,7 @@ def test_groups(spark, block, chunk):
     rng = random.Random(block)
     rows = mixed_rows(rng)
     docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, node int, id int, component int")
-    got = parity_join.jaccard_groups(docs.repartition(5), block=block, chunk=chunk).collect()
+    got = parity_join.jaccard_groups(docs.repartition(5), block=block, chunk=chunk).drop("row").collect()
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted(map(tuple, got), key=key) == sorted(brute_groups(rows), key=key)
 
@@ -85,14 +85,14 @@ def test_groups(spark, block, chunk):
 def test_other_limits(spark, percent, shingle):
     rows = mixed_rows(random.Random(5))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = parity_join.jaccard_groups(docs, shingle=shingle, percent=percent).collect()
+    got = parity_join.jaccard_groups(docs, shingle=shingle, percent=percent).drop("row").collect()
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted(map(tuple, got), key=key) == sorted(brute_groups(rows, percent, shingle), key=key)
 
 
 def test_text_ids_and_no_rows(spark):
     docs = spark.createDataFrame([("b", "x y z"), ("a", "X y Z"), ("c", None)], "doc_id string, text string")
-    assert sorted(map(tuple, parity_join.jaccard_groups(docs).collect())) == [("a", 1, "a"), ("b", 1, "a"), ("c", 0, "c")]
+    assert sorted(map(tuple, parity_join.jaccard_groups(docs).drop("row").collect())) == [("a", 1, "a"), ("b", 1, "a"), ("c", 0, "c")]
     assert parity_join.jaccard_groups(docs.limit(0)).count() == 0
 
 
@@ -102,7 +102,7 @@ def test_linked_sets_share_a_piece():
     for n in [7, 8, 13, 40, 41, 100, 333, 1000, 5000]:
         for _ in range(40):
             whole = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
-            most = parity_join.most_apart(2 * n, 85)
+            most = jaccard.most_apart(2 * n, 85)
             gone = int(rng.integers(0, most // 2 + 1))
             added = int(rng.integers(0, most // 2 + 1))
             other = np.unique(np.r_[rng.permutation(whole)[gone:], rng.integers(0, 1 << 64, added, np.uint64)])
@@ -111,7 +111,7 @@ def test_linked_sets_share_a_piece():
                 continue
             keys = [{int(k) for b in parity_join.places(len(s), 85) for k in parity_join.pieces_of(s, b, 85)} for s in (whole, other)]
             assert keys[0] & keys[1], (n, gone, added)
-            distance = np.bitwise_count(np.frombuffer(parity_join.short_sketch(whole), np.uint8) ^ np.frombuffer(parity_join.short_sketch(other), np.uint8)).sum()
+            distance = np.bitwise_count(np.frombuffer(jaccard.short_sketch(whole), np.uint8) ^ np.frombuffer(jaccard.short_sketch(other), np.uint8)).sum()
             assert distance <= gone + added
 
 

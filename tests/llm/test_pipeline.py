@@ -8,7 +8,8 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from hirelake.llm import bpe
 from hirelake.llm.queries import ORACLES, QUERIES
-from tests.llm.test_operators import brute_fingerprint, brute_hits, least_of
+from tests.llm.test_near_copies import brute_groups
+from tests.llm.test_operators import brute_hits
 from workload.compare import compare, duck
 
 
@@ -61,8 +62,7 @@ def test_stages(spark, sf_dir):
                 assert after[r.doc_id].text == "\n".join(kept)
         elif name == "near_duplicates":
             rows = sorted(before, key=lambda r: r.doc_id)
-            label = least_of([brute_fingerprint(r.text, 3) for r in rows], 3)
-            assert set(after) == {rows[i].doc_id for i in set(label)}
+            assert set(after) == {rows[i].doc_id for i in set(brute_groups([r.text for r in rows]))}
         elif name == "decontamination":
             for r in before:
                 n, hit, _ = brute_hits(r.text, items, 10)
