@@ -188,33 +188,44 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], percent: int, each: int) -> Iterator[pa.RecordBatch]:
     """Pairs (u, v) of different components that short sketches allow, from groups of
     (piece, x, y, side, id, n, root, sketch, apart): side 0 meets 1, side 2 meets itself.
 
-    Components that a sent pair may join count as one from there on, so a group sends
-    fewer pairs than it has components.  ``apart`` has ids known not to be linked.
+    ``apart`` has ids known not to be linked.  With ``each`` 0, components that a sent
+    pair may join count as one from there on, so a group sends fewer pairs than it has
+    components; else a member's ``each`` nearest of any component are sent.
     """
     for group in _groups(b for b in batches if b.num_rows):
         side, ids, n, label = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
         words, apart = _words(group.column(7).combine_chunks()), group.column(8).to_pylist()
         label, sent = label.copy(), [[], []]
         right = np.flatnonzero(side != 0)
+        whole = side[0] == 2
         for i in np.flatnonzero(side != 1):
             other = right[label[right] != label[i]]
+            if whole:
+                other = other[other > i]
             other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
             if apart[i]:
                 other = other[~np.isin(ids[other], apart[i])]
             distance = _distance(words[other], words[i])
             near = distance <= most_apart(n[other] + n[i], percent)
             other = other[near][np.argsort(distance[near], kind="stable")]
-            if len(other):
-                _, first = np.unique(label[other], return_index=True)
-                for j in other[first]:
-                    sent[0].append(min(ids[i], ids[j]))
-                    sent[1].append(max(ids[i], ids[j]))
+            if not len(other):
+                continue
+            if each:
+                by = np.argsort(label[other], kind="stable")  # nearest first within a component
+                starts = np.flatnonzero(np.r_[True, label[other][by][1:] != label[other][by][:-1]])
+                rank = np.arange(len(by)) - np.repeat(starts, np.diff(np.r_[starts, len(by)]))
+                chosen = other[by[rank < each]]
+            else:
+                chosen = other[np.unique(label[other], return_index=True)[1]]
                 label[np.isin(label, label[other])] = label[i]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in sent], ["u", "v"])
+            sent[0].append(np.minimum(ids[chosen], ids[i]))
+            sent[1].append(np.maximum(ids[chosen], ids[i]))
+        if sent[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in sent], ["u", "v"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -235,12 +246,12 @@ def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
 
 
 def _residual(
-    buckets: DataFrame, classes: DataFrame, roots: DataFrame, apart: DataFrame, percent: int, chunk: int, stages: Stages
+    buckets: DataFrame, classes: DataFrame, roots: DataFrame, apart: DataFrame, percent: int, chunk: int, each: int, stages: Stages
 ) -> DataFrame:
     """Pairs of different components that share a bucket of three or more and may be linked.
 
-    Where there are such pairs that are not ``apart`` (u, v), some are found, and at most as
-    many in a group of a bucket as it has members.
+    Where there are such pairs that are not ``apart`` (u, v), some are found; how many of a
+    bucket, ``each`` says.
     """
     part = buckets.join(classes.select("node", "id"), "node").join(roots, F.col("id") == F.col("node_id"), "left").select(
         "piece", "id", F.coalesce("root", "id").alias("root")
@@ -266,7 +277,7 @@ def _residual(
         F.when(F.col("c") == F.col("o"), 2).when(F.col("c") < F.col("o"), 0).otherwise(1).alias("side"),
         "id", "n", "root", "sketch", "apart",
     ).repartition("piece", "x", "y").sortWithinPartitions("piece", "x", "y")
-    return dealt.mapInArrow(lambda batches: _across(batches, percent), "u long, v long").distinct()
+    return dealt.mapInArrow(lambda batches: _across(batches, percent, each), "u long, v long").distinct()
 
 
 def alike_groups(
@@ -323,16 +334,19 @@ def alike_groups(
     links = verified(near)
     found = stages.add(components(links), "roots")
     buckets = members.select("piece", "node").union(members.select("piece", F.col("least").alias("node"))).distinct()
-    apart = near.limit(0)
+    # First pairs that hold the buckets together, then what is left around those that failed,
+    # ever more at once: each round tries pairs that none has tried, until there are none.
+    apart, each = near.limit(0), 0
     while True:
         roots = found.withColumnRenamed("node", "node_id")
-        more = stages.add(_residual(buckets, classes, roots, apart, percent, chunk, stages), "residual")
+        more = stages.add(_residual(buckets, classes, roots, apart, percent, chunk, each, stages), "residual")
         if more.isEmpty():
             break
         links = verified(more)
         apart = apart.unionByName(stages.add(more.join(links, ["u", "v"], "left_anti"), "apart"))
         joined = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links)
         found = stages.add(components(joined), "roots")
+        each = 16 * max(each, 1)
 
     # Each set's least document, then each component's.
     named_rows = rows if empty_alike else rows.where("n > 0")
