@@ -33,9 +33,9 @@ MIN_COUNT, LONGEST, TOP = 30, 4, 2000
 COVERED = 80  # percent of its occurrences within a longer phrase that make a phrase go
 SCORE_UNIT = 2_000_000
 #: The sample's part of the documents, and the part of the expected count that is asked there.
-SAMPLE, LOWERED = 0.25, 0.5
+SAMPLE, LOWERED = 0.25, 0.8
 #: Bits of the proposals' bitmap (2^27: 16 MB), and words that a task counts at once.
-BITS, BLOCK = 27, 2_000_000
+BITS, BLOCK = 27, 1_000_000
 _BREAK, _NONE = 0, 1  # codes of a piece's end and of the nothing between two spaces
 _TABLE = LOWER.translate(bytes(32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256)))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -136,6 +136,9 @@ class _Counter:
                         yield from self._sent(held, words)
                         held, words, total = {}, _Vocabulary(), 0
         yield from self._sent(held, words)
+        # The worker stays for later tasks; its unused memory goes back.
+        del held, words
+        pa.default_memory_pool().release_unused()
 
     def _sent(self, held: dict[str, list[np.ndarray]], words: _Vocabulary) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -186,7 +189,9 @@ def _counting(texts: DataFrame, known: np.ndarray, before: np.ndarray | None, bi
             bitmaps = [None if b is None else np.frombuffer(zlib.decompress(b.value), np.uint8) for b in sent]
             yield from _Counter(lengths, *bitmaps, bits).run(batches, block)
 
-        return texts.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        # A block's phrases are distinct already, so they are dealt first and added up then.
+        parts = texts.mapInArrow(run, "lang string, phrase string, f long").repartition("lang", "phrase")
+        return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
     try:
         yield counted
