@@ -6,14 +6,17 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelake.functions.skills import SkillEntry
+from hirelake.operators.merge import keyed_merge, take
 from hirelake.operators.tracking import detail_worklist
 from hirelake.plans import reports
-from hirelake.plans.collection import run_collection
+from hirelake.plans.collection import discover, run_collection
 from hirelake.plans.enrichment import run_enrichment
 from hirelake.plans.refresh import run_refresh
 from hirelake.sources import exports, schemas
+from hirelake.sources.buckets import BucketTable
 from hirelake.sources.tables import TableStore, jdbc_options, read_urls
 from hirelake.streaming import incremental
 from tests.test_extract import A, B, C
@@ -219,3 +222,72 @@ def test_large_dictionary_enriches_alike(spark, sf_dir):
     assert rows(small) == rows(large)
     names = lambda job: {(r.skill_name_english, r.skill_category) for r in job.skills.collect()}
     assert names(small) == names(large)
+
+
+def test_searches_end_early(spark, tmp_path):
+    """A search ends after pages of tracked links in a row, or at a page without a link."""
+    def link(n):
+        return f'<a href="/jobs/{n}">x</a>'
+
+    pages = {"k": [[1, 2], [3, 9], [4], [5], [6]], "l": [[1], [8], [], [7]], "m": [[1, 2, 2], [], [2]]}
+    rows, n = [], 0
+    for keyword, search in pages.items():
+        for number, numbers in enumerate(search, 1):
+            n += 1
+            rows.append((n, "jobvision", f"https://jobvision.ir/jobs?{keyword}={number}", "job_list", "".join(map(link, numbers)), 200, AT, keyword, number))
+    listing = spark.createDataFrame(
+        rows, "id long, source_site string, source_url string, page_type string, raw_html string, "
+        "response_status int, scraped_at timestamp_ntz, keyword string, page int")
+    store = TableStore(spark, str(tmp_path / "t"))
+    store.create_all()
+    known = [(f"https://jobvision.ir/jobs/{i}", "jobvision", "s0", True) for i in range(1, 7)]
+    store.replace("job_tracking", spark.createDataFrame(known, "job_url string, source_site string, first_seen_session string, is_active boolean"))
+    made = discover(listing, store.read("job_discoveries"), store.read("job_tracking"), "s1", DAY, AT, pages_in_row=2)
+    ends = {r.keyword: (r.empty_page, r.stop_page) for r in made.ends.collect()}
+    assert ends == {"k": (None, 4), "l": (3, None), "m": (2, None)}
+    assert sorted(r.id for r in made.pages.collect()) == [1, 2, 3, 4, 6, 7, 8, 10, 11]
+    assert sorted(int(r.job_url.rsplit("/")[-1]) for r in made.log.collect()) == [1, 2, 3, 4, 5, 8, 9]
+    # 0 pages in a row: never early.
+    assert {r.stop_page for r in discover(listing, made.log.limit(0), store.read("job_tracking"), "s1", DAY, pages_in_row=0).ends.collect()} == {None}
+    # A dry run says what it would find, and writes nothing; five pages in a row are the default.
+    before = store.version("job_tracking")
+    nothing = listing.limit(0).drop("keyword", "page")
+    assert {r.site: r.discovered for r in run_collection(store, listing, nothing, "s1", DAY, AT, dry_run=True).collect()} == {"jobvision": 8, "all": 8}
+    assert store.version("job_tracking") == before and store.read("raw_scrapes").count() == 0
+    run_collection(store, listing, nothing, "s1", DAY, AT)
+    assert store.read("raw_scrapes").count() == 10 and store.read("job_discoveries").count() == 8
+
+
+def test_merges_touch_their_buckets_only(spark, tmp_path):
+    schema = T.StructType.fromDDL("k string, n long")
+    table = BucketTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=16)
+    assert table.read().count() == 0
+
+    def add(rows):
+        batch = spark.createDataFrame(rows, schema)
+        return table.merge(batch, lambda old, new: keyed_merge(old, new, ["k"], {"n": take}))
+
+    def files():
+        return {(f.parent.name, f.name) for f in (tmp_path / "t").rglob("*.parquet")}
+
+    add([(f"k{i}", i) for i in range(200)])
+    before = files()
+    assert len(before) == 16
+    touched = add([("k3", 33), ("k3 again", 1)])
+    gone = {b for b, _ in before - files()}
+    assert 1 <= len(touched) <= 2 and gone == {f"_bucket={b}" for b in touched}
+    assert len(before & files()) == 16 - len(touched)
+    assert {r.k: r.n for r in table.read().collect()} == {f"k{i}": i for i in range(200)} | {"k3": 33, "k3 again": 1}
+    assert add([]) == [] and table.read(touched).count() < 202
+    # A crash between writing the new content and putting it in place.
+    again = BucketTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=16)
+    new = spark.createDataFrame([("k5", 55)], schema).withColumn("_bucket", again.bucket())
+    bucket = new.first()["_bucket"]
+    kept = again.read([bucket]).where("k <> 'k5'").withColumn("_bucket", F.lit(bucket))
+    again._stage(kept.unionByName(new))
+    reopened = BucketTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=16)
+    assert reopened.read().where("k = 'k5'").first().n == 55 and reopened.read().count() == 201
+    # An unfinished one is dropped.
+    again._stage(kept)
+    (tmp_path / "t-pending" / "_SUCCESS").unlink()
+    assert BucketTable(spark, str(tmp_path / "t"), schema, ["k"], buckets=16).read().count() == 201
