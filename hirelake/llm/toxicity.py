@@ -120,7 +120,8 @@ def train(labelled: DataFrame, bits: int = BITS, passes: int = PASSES) -> DataFr
 def score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
     """(doc, score) of each row; score is the probability of label 1."""
     spark = docs.sparkSession
-    found = weights.orderBy("index").toPandas()  # at most 2**bits + 1 rows
+    # At most 2**bits + 1 rows; a sort in Spark would sample them first, and so fit twice.
+    found = weights.toPandas().sort_values("index")
     model = spark.sparkContext.broadcast((found["index"].to_numpy(np.int32), found["weight"].to_numpy(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]):
