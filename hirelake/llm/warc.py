@@ -113,23 +113,49 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     members.select(F.col("members").cast("string")).write.option("lineSep", "\0").option("compression", "none").text(folder)
 
 
+def _page(urn: str | None) -> int | None:
+    """The page id of a record that ``write_archives`` named."""
+    m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
+
+
+def _agrees(given: str, payload: bytes) -> bool | None:
+    """Whether a payload has the digest, in base32 or hex; None for algorithms not known here."""
+    kind, _, value = given.partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("md5", "sha1", "sha256", "sha512"):
+        return None
+    own = hashlib.new(kind, payload)
+    return value.lower() == own.hexdigest() or value.upper().rstrip("=") == base64.b32encode(own.digest()).decode().rstrip("=")
+
+
 def parsed(data: bytes) -> dict:
     """A record's headers (names lower-case) and its block."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "surrogatepass").split("\r\n")
+    lines = head.decode("utf-8", "surrogateescape").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    n = re.search(rb"(?i)^content-length:\s*(\d+)", http, re.MULTILINE)
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    revisit = fields["warc-type"] == "revisit"
-    if not revisit and payload_digest(payload) != digest:
-        raise ValueError(f"{fields.get('warc-record-id')}: the payload doesn't have its digest")
-    page = lambda name: int(x) if (x := fields.get(name, "").removeprefix("<urn:page:").removesuffix(">")).lstrip("-").isdigit() else None
+    text = lambda name: v.encode("utf-8", "surrogateescape").decode("utf-8", "replace") if (v := fields.get(name)) is not None else None
+    if "warc-type" not in fields or not fields.get("content-length", "").isdigit():
+        raise ValueError(f"{text('warc-record-id')}: a record needs its type and length")
+    size = int(fields["content-length"])
+    if len(rest) < size:
+        raise ValueError(f"{text('warc-record-id')}: the record is shorter than it says")
+    kind, block, http = fields["warc-type"].lower(), rest[:size], b""
+    payload = block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    stated = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", http)
+    given = text("warc-payload-digest")
+    revisit = kind == "revisit"
+    # What is transferred in pieces may have the digest of the whole that they make.
+    if given and not revisit and not re.search(rb"(?im)^transfer-encoding:", http) and _agrees(given, payload) is False:
+        raise ValueError(f"{text('warc-record-id')}: the payload doesn't have its digest")
     return {
-        "page_id": page("warc-record-id"), "url": fields.get("warc-target-uri"), "record_type": fields["warc-type"],
-        "payload_bytes": int(n[1]) if revisit and n else len(payload), "payload_digest": digest,
-        "refers_to": page("warc-refers-to"), "payload": None if revisit else payload,
+        "page_id": _page(fields.get("warc-record-id")), "url": text("warc-target-uri"), "record_type": kind,
+        "payload_bytes": (int(stated[1]) if stated else None) if revisit else len(payload),
+        "payload_digest": given.removeprefix("sha1:") if given else None if revisit else payload_digest(payload),
+        "refers_to": _page(fields.get("warc-refers-to")), "payload": None if revisit else payload,
+        "record_id": text("warc-record-id"), "refers_to_id": text("warc-refers-to"),
     }
 
 
@@ -155,7 +181,8 @@ def _whole(piece: bytes) -> bytes | None:
 
 _FIELDS = {
     "page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_bytes": pa.int64(),
-    "payload_digest": pa.string(), "refers_to": pa.int64(), "payload": pa.binary(),
+    "payload_digest": pa.string(), "refers_to": pa.int64(), "payload": pa.binary(), "record_id": pa.string(),
+    "refers_to_id": pa.string(),
 }
 _PIECES = {"file": pa.string(), "start": pa.int64(), "seq": pa.int64(), "piece": pa.binary()}
 
@@ -231,18 +258,36 @@ def _together(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(made, columns=list(_FIELDS)).astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
 
 
-_SCHEMA = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+_SCHEMA = (
+    "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, "
+    "payload binary, record_id string, refers_to_id string"
+)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of WARC files, of one gzip member each, in a folder.
-
-    (page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload); for
-    a revisit the size and the digest are those of the payload it stands for, and the
-    payload itself is null.  A payload that doesn't have its digest, or a member that
-    is cut short, raises.  No files give no rows.
+    """The records of WARC files, of one gzip member each, in a folder; written here or elsewhere.
+
+    (page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload, record_id,
+    refers_to_id); ids are given as they stand and, where ``write_archives`` made them, as page
+    ids.  The payload is what follows the HTTP headers, or the whole block of records
+    without such (warcinfo, metadata, DNS).  For a revisit, size and digest are those
+    that it states of the payload it stands for, or null, and the payload itself is null.
+    A digest that a record lacks is its payload's SHA-1; one that is given stays as it
+    is, without a leading ``sha1:``.  A payload that doesn't have its digest (MD5 or SHA,
+    base32 or hex; others, and those of chunked transfers, are not checked), or a record
+    or member that is cut short, raises.  No files give no rows.
+
+    Files are read in byte ranges, but those whose names end in ``.gz`` each by one task,
+    as Spark splits no file of such a name; they are streamed all the same.
     """
-    raw = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(folder)
+    # This codec hands on bytes as they are, so that .gz files aren't inflated by their name;
+    # the shaded Hadoop client that comes with Spark has its option under a name of its own.
+    raw = (
+        spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1"))
+        .option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+        .option("io.compress.passthrough.extension", ".gz")
+        .option("org.apache.hadoop.shaded.io.compress.passthrough.extension", ".gz").text(folder)
+    )
     ranges = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
     scanned = ranges.mapInArrow(_scan, f"{_SCHEMA}, file string, start long, seq long, piece binary")
     parted = scanned.where("piece is not null").select("file", "start", "seq", "piece").groupBy("file").applyInPandas(_together, _SCHEMA)
