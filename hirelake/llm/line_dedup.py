@@ -14,19 +14,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from struct import unpack
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_128_digest
 
-from hirelake.llm.common import LOWER, SPACES, table
+from hirelake.llm.common import LOWER, SPACES, table, unused
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 SALTS = 32
-
-
-LINES = "doc long, row long, h1 long, h2 long, at array<int>"
+LINES = "row long, h1 long, h2 long, at array<int>"
 
 
 def line_key(line: str) -> bytes:
@@ -36,25 +36,41 @@ def line_key(line: str) -> bytes:
 
 def exploded(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     """Per document and key of at least ``min_chars``: the key's hash and where its lines are."""
-    schema = pa.schema(
-        [("doc", pa.int64()), ("row", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.list_(pa.int32()))]
-    )
     for batch in batches:
-        docs, rows, texts = (batch.column(i) for i in range(3))
         for start in range(0, batch.num_rows, 512):
-            out: list[list] = [[], [], [], [], []]
-            for doc, row, text in zip(
-                *(c.slice(start, 512).to_pylist() for c in (docs, rows, texts)), strict=True
-            ):
+            part = batch.slice(start, 512)
+            of, h1, h2, at = [], [], [], []
+            for i, text in enumerate(part.column(2).to_pylist()):
                 keys: dict[bytes, list[int]] = {}
-                for i, line in enumerate(text.split("\n")):
+                for n, line in enumerate(text.split("\n")):
                     if len(line) >= min_chars and len(line.strip(SPACES)) >= min_chars:
-                        keys.setdefault(line_key(line), []).append(i)
-                for key, at in keys.items():
-                    h1, h2 = unpack("<qq", xxh3_128_digest(key))
-                    for column, value in zip(out, (doc, row, h1, h2, at), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+                        keys.setdefault(line_key(line), []).append(n)
+                for key, lines in keys.items():
+                    a, b = unpack("<qq", xxh3_128_digest(key))
+                    of.append(i)
+                    h1.append(a)
+                    h2.append(b)
+                    at.append(lines)
+            own = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(own), part.column(1).take(own), pa.array(h1, pa.int64()),
+                    pa.array(h2, pa.int64()), pa.array(at, pa.list_(pa.int32())),
+                ],
+                ["doc", "row", "h1", "h2", "at"],
+            )
+
+
+def without(text: pd.Series, gone: pd.Series) -> pd.Series:
+    """Texts without the lines at the positions in ``gone``; null where there is no text."""
+
+    def one(lines: str | None, at) -> str | None:
+        if lines is None:
+            return None
+        out = set(at.tolist())
+        return "\n".join([line for i, line in enumerate(lines.split("\n")) if i not in out])
+
+    return pd.Series([one(t, g) for t, g in zip(text, gone, strict=True)], dtype=object)
 
 
 def line_dedup(
@@ -72,15 +88,18 @@ def line_dedup(
     least ``min_docs`` distinct documents lose all their lines except in the largest
     document id that holds them.  Rows of one id count as one document, and so do
     all rows without an id, which rank below any id.  Repeated rows are each
-    treated alike.  A table without rows gives no rows.  Other columns pass
-    through; own ones called kept_text, n_lines or n_dropped are replaced.
+    treated alike.  Ids may be of any type that Spark sorts; they compare as it sorts
+    them.  A table without rows gives no rows.  Other columns pass through, whatever
+    their names; own ones called kept_text, n_lines or n_dropped are replaced.
     """
-    rest = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
+    rest = [c for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")]
+    gone, key, of, row = (unused(docs, c) for c in ("__gone", "__key", "__of", "__row"))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     # A row is known by its id and the hash of its text: rows alike in both are treated alike.
+    schema = T.StructType([T.StructField("doc", docs.schema[doc_id].dataType), *T.StructType.fromDDL(LINES).fields])
     lines = docs.select(
-        F.col(f"`{doc_id}`").cast("long").alias("doc"), F.xxhash64(body).alias("row"), body.alias("text")
-    ).mapInArrow(lambda batches: exploded(batches, min_chars), LINES)
+        F.col(f"`{doc_id}`").alias("doc"), F.xxhash64(body).alias("row"), body.alias("text")
+    ).mapInArrow(lambda batches: exploded(batches, min_chars), schema)
     held = lines.select("h1", "h2", "doc").distinct()
     frequent = (
         held.groupBy("h1", "h2")
@@ -89,27 +108,22 @@ def line_dedup(
         .select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     )
     dropped = (
-        lines.withColumn("salt", F.pmod(F.hash("doc"), F.lit(salts)))
+        lines.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int"))
         .join(frequent, ["h1", "h2", "salt"])
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))
-        .groupBy("doc", "row")
-        .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("__gone"))
-        .withColumnRenamed("doc", "__doc").withColumnRenamed("row", "__row")
-    )
-    joined = docs.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(body).alias("__key")).join(
-        dropped,
-        F.col(f"`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__row")),
-        "left",
+        .groupBy(F.col("doc").alias(of), F.col("row").alias(row))
+        .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias(gone))
     )
-    parts = F.split(body, "\n", -1)
-    kept = F.array_join(
-        F.filter(parts, lambda x, i: ~F.array_contains("__gone", i)), "\n"
+    joined = docs.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(body).alias(key)).join(
+        dropped, F.col(f"`{doc_id}`").eqNullSafe(F.col(of)) & (F.col(key) == F.col(row)), "left"
     )
+    # Only texts that lose lines go to Python.
+    kept = F.pandas_udf(without, "string")(F.when(F.col(gone).isNotNull(), body), F.col(gone))
     return joined.select(
         *[F.col(f"`{c}`") for c in rest],
-        F.when(F.col("__gone").isNull(), body).otherwise(kept).alias("kept_text"),
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col(gone).isNull(), body).otherwise(kept).alias("kept_text"),
+        F.size(F.split(body, "\n", -1)).cast("long").alias("n_lines"),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_dropped"),
     )
 
 
