@@ -2,10 +2,11 @@
 
 A gear rolling hash over the bytes decides where chunks end, so a passage is cut alike
 wherever it stands and whatever was inserted before it: after the first boundary in it
-its chunks are the same.  Chunks are compared by a 64-bit digest across all documents (a
-repeat has two chunks or more, so a chance hit alone makes none);
-a run of chunks that other documents hold too is a repeat, and all but the document
-with the smallest id lose it.
+its chunks are the same.  What is compared across all documents are passages: from
+each chunk on, as many whole chunks as make ``PASSAGE`` bytes, by a 64-bit digest.  So
+a repeat is text that stands in one other document as it stands here, not chunks found
+here and there; and it has two passages or more that begin one chunk apart, so a chance
+hit of a digest makes none.  All but the document with the smallest id lose it.
 
 (digest, document) rows are counted with map-side sums.  On the way back the digests that
 very many documents hold, of which there can be only so many, are broadcast, and just the
@@ -30,7 +31,9 @@ from hirelake.llm.common import Stages, table
 #: A chunk's bytes: at least, at most; it ends where so many bits of the hash are 0, which
 #: tell of the last WINDOW bytes.  So a passage of 50 words holds several whole chunks.
 LEAST, MOST, BITS, WINDOW = 8, 48, 4, 8
-#: Bytes that a run of repeated chunks must have to be a repeat.
+#: Bytes that a passage has at least, some ten words.
+PASSAGE = 60
+#: Bytes that a run of repeated passages must have to be a repeat.
 MIN_RUN = 80
 #: Of the rows of shared digests, a digest with more than this share is broadcast; so at
 #: most one by this many are.
@@ -84,20 +87,30 @@ def ends(raw: bytes, least: int = LEAST, most: int = MOST, bits: int = BITS, win
     return out
 
 
-def chunked(raw: bytes) -> tuple[list[int], bytes]:
-    """The chunks' ends, and their digests of 8 bytes, joined."""
+def passages(raw: bytes) -> tuple[list[int], list[int], bytes]:
+    """The chunks' ends; for each chunk that a passage begins with, the chunk after its
+    last; and the passages' digests of 8 bytes, joined."""
     stops = ends(raw)
-    return stops, b"".join([xxh3_64_digest(raw[a:b]) for a, b in zip([0, *stops], stops, strict=False)])
+    starts = [0, *stops]
+    after, digests, j = [], [], 0
+    for a in starts[:-1]:
+        while j < len(stops) and starts[j] - a < PASSAGE:
+            j += 1
+        if starts[j] - a < PASSAGE:
+            break
+        after.append(j)
+        digests.append(xxh3_64_digest(raw[a : starts[j]]))
+    return stops, after, b"".join(digests)
 
 
 def _held(batches: Iterator[pa.RecordBatch]):
-    """(doc, h1) for each distinct chunk of a row."""
+    """(doc, h1) for each distinct passage of a row."""
     for batch in batches:
         for start in range(0, batch.num_rows, 128):
             part = batch.slice(start, 128)
             ids, h1 = [], []
             for i, text in enumerate(part.column(1).to_pylist()):
-                _, digests = chunked(text.encode("utf-8", "surrogatepass"))
+                *_, digests = passages(text.encode("utf-8", "surrogatepass"))
                 own = {h for (h,) in iter_unpack("<q", digests)}
                 ids.extend([i] * len(own))
                 h1.extend(own)
@@ -108,32 +121,38 @@ _FOUND = {"n_chunks": T.LongType(), "n_repeated": T.LongType(), "repeated_bytes"
 
 
 def judged(text: str, shared: list[int], first: list[bool], min_run: int = MIN_RUN) -> dict:
-    """A row's repeats, given the first half of the digests it shares and whether this
-    document is the first to hold each."""
+    """A row's repeats, given the digests it shares and whether this document is the
+    first to hold each."""
     raw = text.encode("utf-8", "surrogatepass")
     if not shared:
         return {"n_chunks": len(ends(raw)), "n_repeated": 0, "repeated_bytes": 0, "removed_bytes": 0, "kept_text": text}
-    stops, digests = chunked(raw)
+    stops, after, digests = passages(raw)
     known = dict(zip(shared, first, strict=True))
     marks = [known.get(h1) for (h1,) in iter_unpack("<q", digests)]
     n = repeated = removed = 0
-    kept, i, done = [], 0, 0
+    kept, done = [], 0
     starts = [0, *stops]
+    i = 0
     while i < len(marks):
         j = i
         while j < len(marks) and marks[j] is not None:
             j += 1
-        if j > i and starts[j] - starts[i] >= min_run:
-            n += j - i
-            repeated += starts[j] - starts[i]
+        # Passages i to j - 1 repeat: chunks i to last - 1.
+        if j > i + 1 and starts[after[j - 1]] - starts[i] >= min_run:
+            last = after[j - 1]
+            n += last - i
+            repeated += starts[last] - starts[i]
+            upto = i
             for k in range(i, j):
-                if not marks[k]:
-                    kept.append(raw[done : starts[k]])
-                    done = starts[k + 1]
-                    removed += starts[k + 1] - starts[k]
+                if not marks[k] and after[k] > upto:
+                    a, b = starts[max(k, upto)], starts[after[k]]
+                    kept.append(raw[done:a])
+                    done = b
+                    removed += b - a
+                    upto = after[k]
         i = max(j, i + 1)
     kept.append(raw[done:])
-    return {"n_chunks": len(marks), "n_repeated": n, "repeated_bytes": repeated, "removed_bytes": removed, "kept_text": b"".join(kept).decode("utf-8", "surrogatepass")}
+    return {"n_chunks": len(stops), "n_repeated": n, "repeated_bytes": repeated, "removed_bytes": removed, "kept_text": b"".join(kept).decode("utf-8", "surrogatepass")}
 
 
 def substring_dedup(
@@ -141,12 +160,12 @@ def substring_dedup(
 ) -> DataFrame:
     """(doc, n_chunks, n_repeated, repeated_bytes, removed_bytes, kept_text) of each row.
 
-    ``repeated`` are chunks in runs of at least ``min_run`` bytes of chunks that other
-    documents hold; of these the document with the smallest id keeps its own, in the
-    others they are removed.  What one document repeats by itself stays.  Null and
+    ``repeated`` are the chunks in runs of at least ``min_run`` bytes of two or more
+    passages that other documents hold; of each passage the document with the smallest
+    id keeps its own, in the others it is removed.  What one document repeats by itself stays.  Null and
     empty texts have no chunks and an empty kept_text.  Rows of one id are one
     document; rows without an id are one document too, which never comes first unless
-    no other holds the chunk.  Extra columns are not read; no rows give no rows.
+    no other holds the passage.  Extra columns are not read; no rows give no rows.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = docs.schema[doc_id].dataType
