@@ -13,6 +13,9 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: The ASCII white space [\x20\x09-\x0D]; ``bytes.split()`` splits on just these.
 SPACES = " \t\n\x0b\x0c\r"
 
+#: Spark's setting to delete shuffle files at the end of an execution.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,9 +58,16 @@ class Stages:
         self.spark = spark
         self.paths: list[str] = []
 
-    def add(self, df: DataFrame, what: str) -> DataFrame:
+    def add(self, df: DataFrame, what: str, release: bool = False) -> DataFrame:
+        """``df`` as a table; ``release`` deletes its shuffles once it is written, which
+        suits a ``df`` that is evaluated for this table only."""
         path = f"{shared_folder(self.spark)}/{what}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(RELEASE, "false")
+        try:
+            self.spark.conf.set(RELEASE, "true" if release else before)
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(RELEASE, before)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

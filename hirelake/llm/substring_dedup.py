@@ -177,6 +177,7 @@ def substring_dedup(
         .where((F.col("least") < F.col("most")) | (F.col("none") & F.col("least").isNotNull()))
         .select("h1", "least", "rows"),
         "shared",
+        release=True,
     )
     limit = max(hot_rows, int(hot_share * (shared.agg(F.sum("rows")).first()[0] or 0)))
     # At most 1 / hot_share digests have so many of the rows.
