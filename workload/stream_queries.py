@@ -10,8 +10,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from hirelake.functions.text import content_hash
 from hirelake.sources import values as V
+from hirelake.sources.buckets import BucketTable
+from hirelake.sources.schemas import SCHEMAS
 from hirelake.sources.tables import TableStore, shared_folder
 from hirelake.streaming import incremental as I
 from workload import sql as S
@@ -44,19 +48,12 @@ def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _finish(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Append-mode result of a stream, as the Parquet table it wrote."""
-    work = _work(spark, name)
-    run = (
-        df.writeStream.format("parquet")
-        .option("path", f"{work}/out")
-        .option("checkpointLocation", f"{work}/check")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{work}/out")
+def _finish(work: str, writer: DataStreamWriter) -> None:
+    writer.option("checkpointLocation", f"{work}/check").trigger(availableNow=True).start().awaitTermination()
+
+
+def _buckets(spark: SparkSession, work: str, like: DataFrame, keys: list[str]) -> BucketTable:
+    return BucketTable(spark, f"{work}/out", like.schema, keys, buckets=16)
 
 
 @query("stream_first_last", f"""
@@ -66,52 +63,51 @@ SELECT job_url, arg_min(source_site, seq) AS source_site, arg_min(scrape_session
   0 AS detail_scrape_count FROM ({S.DISCOVERIES}) GROUP BY 1""")
 def stream_first_last(spark, d):
     work = _work(spark, "tracking")
-    store = TableStore(spark, f"{work}/tables")
-    run = (
-        I.track_stream(_found(spark, d), store, ["seq"])
-        .option("checkpointLocation", f"{work}/check")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return dates_as_text(store.read("job_tracking").select(*_TRACK_COLUMNS))
+    table = BucketTable(spark, f"{work}/out", SCHEMAS["job_tracking"], ["job_url"], buckets=16)
+    _finish(work, I.track_buckets(_found(spark, d), table, ["seq"]))
+    return dates_as_text(table.read().select(*_TRACK_COLUMNS))
 
 
 @query("stream_unique", f"SELECT DISTINCT scrape_session_id, job_url FROM ({S.DISCOVERIES})")
 def stream_unique(spark, d):
-    out = _finish(I.unique_discoveries(_found(spark, d), "40 days"), spark, "unique")
-    return out.select("scrape_session_id", "job_url")
+    work = _work(spark, "unique")
+    found = _found(spark, d).select("scrape_session_id", "job_url", "seq")
+    table = _buckets(spark, work, found, ["scrape_session_id", "job_url"])
+    _finish(work, I.first_rows_stream(found, table, ["seq"]))
+    return table.read().select("scrape_session_id", "job_url")
 
 
 @query("stream_daily", f"""
-SELECT CAST(day AS VARCHAR) AS date, source_site, count(*) AS count FROM ({S.DISCOVERIES})
-WHERE day + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2""")
+SELECT CAST(day AS VARCHAR) AS date, source_site, count(*) AS count FROM ({S.DISCOVERIES}) GROUP BY 1, 2""")
 def stream_daily(spark, d):
-    """Closed days only: days behind the watermark."""
-    out = _finish(I.daily_counts(_found(spark, d)), spark, "daily")
-    return out.select(F.to_date("day").cast("string").alias("date"), "source_site", "count")
+    """All days, the open ones too."""
+    work = _work(spark, "daily")
+    counts = I.daily_counts(_found(spark, d))
+    table = _buckets(spark, work, counts, ["day", "source_site"])
+    _finish(work, I.totals_stream(counts, table))
+    return table.read().select(F.to_date("day").cast("string").alias("date"), "source_site", "count")
 
 
 @query("stream_rates", f"""
 SELECT w AS window_start_us, source_site, count(*) AS requests
 FROM (SELECT source_site, unnest([epoch_us(ts) // 10000000 * 10000000 - k * 10000000 FOR k IN [0, 1, 2, 3, 4, 5]]) AS w
-  FROM ({S.DISCOVERIES}))
-WHERE w + 60000000 <= (SELECT epoch_us(max(ts)) FROM events) - 120000000 GROUP BY 1, 2""")
+  FROM ({S.DISCOVERIES})) GROUP BY 1, 2""")
 def stream_rates(spark, d):
-    """Closed windows only."""
-    out = _finish(I.request_rates(_found(spark, d)), spark, "rates")
-    return out.select(
-        F.unix_micros("window_start").alias("window_start_us"), "source_site", "requests"
-    )
+    """All windows, the open ones too."""
+    work = _work(spark, "rates")
+    rates = I.request_rates(_found(spark, d))
+    table = _buckets(spark, work, rates, ["window_start", "source_site"])
+    _finish(work, I.totals_stream(rates, table))
+    return table.read().select(F.unix_micros("window_start").alias("window_start_us"), "source_site", "requests")
 
 
 @query("stream_content", "SELECT DISTINCT sha256(text) AS content_hash FROM documents")
 def stream_content(spark, d):
-    pages = _stream(spark, d, "documents").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("raw_html"),
-        F.timestamp_seconds(F.lit(1_000_000_000) + F.col("doc_id")).alias("ts"),
-    )
-    return _finish(I.new_content(pages, "400 days"), spark, "content").select("content_hash")
+    work = _work(spark, "content")
+    pages = _stream(spark, d, "documents").select("doc_id", content_hash(F.col("text")).alias("content_hash"))
+    table = _buckets(spark, work, pages, ["content_hash"])
+    _finish(work, I.first_rows_stream(pages, table, ["doc_id"]))
+    return table.read().select("content_hash")
 
 
 def _streamed_postings(spark, d):
