@@ -3,16 +3,21 @@
 A pattern matches as a raw substring of the lower-cased text.  The dictionary is
 data (``skill, category, pattern`` rows).  Up to ``LITERAL_PATTERNS`` patterns it
 travels inside the plan as an array literal, so matching is a projection with no
-shuffle; a larger dictionary goes through ``match_large``, an equi-join on the
-patterns' leading characters.
+shuffle.  A larger one becomes an Aho-Corasick automaton that reads each text once,
+whatever the number of patterns, in Arrow batches: no shuffle either.  It is broadcast,
+so its size is checked: a dictionary beyond ``AUTOMATON_PATTERNS`` or
+``AUTOMATON_CHARS`` meets the texts in an equi-join on the patterns' leading characters.
+All forms give the same answer.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +25,12 @@ from hirelake.functions.text import let, string_items
 from hirelake.sources import values as V
 
 LITERAL_PATTERNS = 2_000
+#: Bounds of a dictionary that is broadcast: rows and characters in all.
+AUTOMATON_PATTERNS = 200_000
+AUTOMATON_CHARS = 8_000_000
 _GRAM = 3
 
+
 @dataclass(frozen=True)
 class SkillEntry:
     skill: str
@@ -142,10 +151,84 @@ def _gram_bitmap(patterns: DataFrame) -> Column:
     return F.from_json(F.lit(json.dumps(filled)), "array<bigint>")
 
 
+def large_patterns(dictionary: DataFrame) -> DataFrame:
+    """Distinct (skill, pattern) rows as the forms for large dictionaries take them."""
+    return (
+        dictionary.select("skill", F.lower("pattern").alias("pattern"))
+        .where((F.col("pattern") != "") & F.col("skill").isNotNull())
+        .distinct()
+    )
+
+
+def _word(char: str) -> bool:
+    return char == "_" or unicodedata.category(char)[0] in "LN"
+
+
+def _occurring(automaton, text: str, whole_words: bool) -> list[str]:
+    """The sorted distinct skills of the patterns that occur in a text."""
+    found: set[str] = set()
+    for end, (length, skills) in automaton.iter(text):
+        if whole_words:
+            begin = end - length + 1
+            if (begin and _word(text[begin - 1])) or (end + 1 < len(text) and _word(text[end + 1])):
+                continue
+        found.update(skills)
+    # Spark sorts strings by their bytes, which is the order of code points.
+    return sorted(found)
+
+
+def matcher(
+    dictionary: DataFrame, whole_words: bool = False, max_patterns: int = AUTOMATON_PATTERNS, max_chars: int = AUTOMATON_CHARS
+) -> Callable[[Column], Column] | None:
+    """The skills of a text column by an automaton over ``dictionary``, or None when the
+    dictionary is beyond the bounds.
+
+    All patterns are found in one pass over a text, overlapping ones too; a null text
+    has no skills.  At most the bounds reach the driver and each executor.
+    """
+    rows = large_patterns(dictionary)
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.char_length("pattern") + F.char_length("skill")).alias("chars")).first()
+    if size.n > max_patterns or (size.chars or 0) > max_chars:
+        return None
+    listed: dict[str, list[str]] = {}
+    for r in rows.toLocalIterator():
+        listed.setdefault(r.pattern, []).append(r.skill)
+    shared = dictionary.sparkSession.sparkContext.broadcast(sorted(listed.items()))
+
+    def match(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from ahocorasick import Automaton
+
+        automaton = Automaton()
+        for pattern, skills in shared.value:
+            automaton.add_word(pattern, (len(pattern), skills))
+        if shared.value:
+            automaton.make_automaton()
+        for part in texts:
+            yield pd.Series([_occurring(automaton, t, whole_words) if t and shared.value else [] for t in part], dtype=object)
+
+    # Annotations kept as text are not resolved for functions within functions.
+    match.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    udf = F.pandas_udf(match, "array<string>")
+    return lambda text: udf(F.lower(text))
+
+
 def match_large(
+    docs: DataFrame, key: str, text: str, dictionary: DataFrame, whole_words: bool = False, max_patterns: int = AUTOMATON_PATTERNS
+) -> DataFrame:
+    """``(key, skills)`` of each row for dictionaries too large for the plan.
+
+    The result is that of ``match_skills`` with the same rows.
+    """
+    skills_of = matcher(dictionary, whole_words, max_patterns)
+    if skills_of is None:
+        return match_joined(docs, key, text, dictionary, whole_words)
+    return docs.select(key, skills_of(F.col(text)).alias("skills"))
+
+
+def match_joined(
     docs: DataFrame, key: str, text: str, dictionary: DataFrame, whole_words: bool = False
 ) -> DataFrame:
-    """``(key, skills)`` for dictionaries too large for the plan.
+    """``(key, skills)`` for dictionaries too large to broadcast; ``key`` is unique.
 
     Each pattern is filed under its first characters (up to three).  A document
     contributes its distinct character grams once each, candidates meet in an
@@ -154,12 +237,7 @@ def match_large(
     it may let others pass but loses none.  No pattern or document is dropped; the
     result is that of ``match_skills`` with the same rows.
     """
-    patterns = (
-        dictionary.select("skill", F.lower("pattern").alias("pattern"))
-        .where((F.col("pattern") != "") & F.col("skill").isNotNull())
-        .distinct()
-        .withColumn("gram", F.left("pattern", F.lit(_GRAM)))
-    )
+    patterns = large_patterns(dictionary).withColumn("gram", F.left("pattern", F.lit(_GRAM)))
     bitmap = _gram_bitmap(patterns)
     lengths = {
         r[0] for r in patterns.select(F.char_length("gram")).distinct().collect()

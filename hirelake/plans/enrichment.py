@@ -21,8 +21,9 @@ from hirelake.functions.skills import (
     SkillEntry,
     cleaned,
     load_dictionary,
-    match_large,
+    match_joined,
     match_skills,
+    matcher,
     searchable,
     skill_category,
     union_skills,
@@ -69,7 +70,7 @@ def usable(dictionary: Iterable[SkillEntry] | DataFrame) -> Dictionary:
 def derive(translated: DataFrame, dictionary: Dictionary) -> DataFrame:
     """Title, labels, salary and skills of each posting.
 
-    Row-local, without a shuffle, unless the dictionary is too large for the plan.
+    Row-local, without a shuffle, unless the dictionary is too large to broadcast.
     """
     pay = salary(F.col("salary_min_original"), strip(F.col("description_persian")))
     text = searchable(
@@ -78,9 +79,12 @@ def derive(translated: DataFrame, dictionary: Dictionary) -> DataFrame:
         F.col("title_english"),
         F.col("description_english"),
     )
-    if isinstance(dictionary, DataFrame):
+    skills_of = matcher(dictionary) if isinstance(dictionary, DataFrame) else None
+    if skills_of is not None:
+        found = skills_of(text)
+    elif isinstance(dictionary, DataFrame):
         docs = translated.select("id", text.alias("_text"))
-        hits = match_large(docs, "id", "_text", dictionary)
+        hits = match_joined(docs, "id", "_text", dictionary)
         translated = translated.join(hits.withColumnRenamed("skills", "_found"), "id", "left")
         found = F.col("_found")
     else:

@@ -90,7 +90,9 @@ def test_large_dictionary_equals_literal_one(spark):
     small = {r.id: r.s for r in docs.select("id", skills.match_skills(F.col("body"), loaded).alias("s")).collect()}
     large = {r.id: r.skills for r in skills.match_large(
         docs, "id", "body", skills.dictionary_frame(spark, entries)).collect()}
-    assert small == large and any(small.values())
+    joined = {r.id: r.skills for r in skills.match_joined(
+        docs, "id", "body", skills.dictionary_frame(spark, entries)).collect()}
+    assert small == large == joined and any(small.values())
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -103,11 +105,31 @@ def test_both_forms_of_a_dictionary_agree(spark, listed, whole_words):
     docs = spark.createDataFrame(list(enumerate(["Ab c", "xabcdx", "", None, "b C 😀", "x"])), "id int, body string")
     loaded = skills.load_dictionary(frame)
     small = docs.select("id", skills.match_skills(F.col("body"), loaded, whole_words).alias("s"))
-    large = skills.match_large(docs, "id", "body", frame, whole_words)
-    assert {r.id: r.s for r in small.collect()} == {r.id: r.skills for r in large.collect()}
+    want = {r.id: r.s for r in small.collect()}
+    for bound in (skills.AUTOMATON_PATTERNS, -1):
+        large = skills.match_large(docs, "id", "body", frame, whole_words, bound)
+        assert want == {r.id: r.skills for r in large.collect()}
     assert all(e.category == min((c for s, c, _ in listed if s == e.skill and c), default=None) for e in loaded)
 
 
+def test_automaton_reads_texts_once(spark):
+    """No join and no shuffle; overlapping patterns, repeated keys and edges of words."""
+    listed = [("he", "he"), ("she", "she"), ("hers", "HERS"), ("usher", "usher"), ("é", "é"), ("c++", "c++"), ("x", "x_y")]
+    frame = spark.createDataFrame([(s, None, p) for s, p in listed], "skill string, category string, pattern string")
+    docs = spark.createDataFrame(
+        [(1, "uSHErs"), (1, "he\u0301 é"), (None, "C++, x_y"), (3, "éé he_ 3he he3 (he)"), (4, None), (5, ""), (6, "he " * 200_000)],
+        "id int, body string")
+    entries = [skills.SkillEntry(s, None, (p,)) for s, p in listed]
+    for whole in (False, True):
+        found = skills.match_large(docs, "id", "body", frame, whole)
+        small = docs.select("id", skills.match_skills(F.col("body"), entries, whole).alias("skills"))
+        key = lambda r: (r.id or 0, r.skills)
+        assert sorted(found.collect(), key=key) == sorted(small.collect(), key=key)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    assert skills.matcher(frame, max_chars=10) is None
+
+
 def test_set_page_matches_urllib(spark):
     def model(u):
         p = urlsplit(u)
