@@ -125,14 +125,14 @@ def _merge_dimension(table: DataFrame, batch: DataFrame, key: str, rules: dict)
 
 
 def resolve(
-    keys: DataFrame, table: DataFrame, key: str, table_key: str, out: str, hot: Sequence = ()
+    keys: DataFrame, table: DataFrame, key: str, table_key: str, out: str, hot: Sequence | None = None
 ) -> DataFrame:
     """``(id, <out>)``: the dimension id behind each posting's key."""
     dim = table.select(F.col(table_key).alias(key), F.col("id").alias(out))
     return lookup(keys.select("id", key), dim, key, "id", hot, how="inner").select("id", out)
 
 
-def bridge_rows(mentions: DataFrame, skills: DataFrame, hot: Sequence = ()) -> DataFrame:
+def bridge_rows(mentions: DataFrame, skills: DataFrame, hot: Sequence | None = None) -> DataFrame:
     """Posting-skill rows of ``mentions(id, skill)``, distinct per posting already."""
     dim = skills.select(
         F.col("skill_name_english").alias("skill"), F.col("id").alias("skill_id")
@@ -206,7 +206,7 @@ def remember_translations(memory: DataFrame, uses: DataFrame, as_of: datetime) -
     return known.unionByName(fresh)
 
 
-def known_translations(memory: DataFrame, uses: DataFrame, hot: Sequence = ()) -> DataFrame:
+def known_translations(memory: DataFrame, uses: DataFrame, hot: Sequence | None = None) -> DataFrame:
     """``(id, field, translated_text)`` for uses the memory can answer.
 
     Only keys travel to the join; the texts stay where they are.

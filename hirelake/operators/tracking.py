@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -152,7 +153,7 @@ def last_success_page(progress: DataFrame, site: str) -> DataFrame:
     )
 
 
-def seen_ratio(listing: DataFrame, tracking: DataFrame, hot: list | None = None) -> DataFrame:
+def seen_ratio(listing: DataFrame, tracking: DataFrame, hot: Sequence | None = None) -> DataFrame:
     """Share of a listing page's URLs that are tracked already.
 
     ``listing`` has one row per link: ``source_site, keyword, page, job_url``.
@@ -163,7 +164,7 @@ def seen_ratio(listing: DataFrame, tracking: DataFrame, hot: list | None = None)
         "_row", F.xxhash64(*page)
     )
     known = tracking.select("job_url", F.lit(1).alias("_seen"))
-    flagged = lookup(links, known, "job_url", "_row", hot or ())
+    flagged = lookup(links, known, "job_url", "_row", hot)
     return flagged.groupBy(*page).agg(
         F.count("_seen").alias("seen_count"),
         F.sum(F.when(F.col("job_url").isNotNull(), F.col("_n")).otherwise(0)).alias("total_count"),

@@ -219,10 +219,7 @@ class Enriched:
 
 
 def find_hot(batch: DataFrame) -> Hot:
-    """Hot companies, locations and titles of a large batch.
-
-    Only rows in bounded number come back; a small batch is not inspected.
-    """
+    """Hot companies, locations and texts of a batch; only keys in bounded number come back."""
     keyed = D.company_keys(batch)
     places = D.location_keys(batch)
     texts = D.text_uses(batch, ["title_persian", "description_persian"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hirelake.operators import metrics, pages, streaks, tracking
 from hirelake.operators.ids import assign_ids
 from hirelake.operators.merge import add, fill, fold, keyed_merge, take
-from hirelake.operators.skew import hot_keys, lookup
+from hirelake.operators.skew import heavy_keys, hot_keys, lookup
 from hirelake.sources import schemas
 
 D = date(2024, 1, 1)
@@ -103,6 +103,30 @@ def test_ids_in_slices(spark):
     assert assign_ids(df.limit(0), "first", "key", 1).count() == 0
 
 
+def test_lookup_finds_hot_keys(spark):
+    """A third of the rows with one key, a third with none: no task gets much more than its share."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") + 100)
+    facts = spark.range(90_000).select("id", key.alias("key"))
+    found = heavy_keys(facts, "key")
+    assert list(found) == [7] and abs(found[7] - 0.5) < 0.001
+    assert heavy_keys(facts.limit(0), "key") == {} and heavy_keys(facts.where("key is null"), "key") == {}
+    dim = facts.select("key").distinct().where("key is null or key % 2 = 1").withColumn("n", F.col("key") * 2)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(c, v)
+        joined = lookup(facts, dim, "key", "id")
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 90_000 and max(sizes) < 2.5 * 90_000 / 8
+        plain = facts.join(dim, "key", "left").select("id", "key", "n")
+        assert joined.select("id", "key", "n").exceptAll(plain).count() == 0 and joined.count() == plain.count()
+        inner = lookup(facts, dim, "key", "id", how="inner")
+        assert inner.count() == facts.join(dim, "key").count()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_hot_keys_and_lookup(spark):
     facts = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), (F.col("id") % 200).cast("string"))).alias("key"))

@@ -132,11 +132,16 @@ def mark_companies(spark, d):
     return out.select("company_url", "profile_scraped", "profile_scrape_count")
 
 
+def _tracked(spark, d):
+    """Tracking after all sessions, the late ones merged into the early ones' state."""
+    return Tr.track_urls(W.url_tracking(spark, d), _late(spark, d), ["seq"])
+
+
 @query("detail_worklist", f"""
-SELECT job_url, source_site, CAST(first_seen_date AS VARCHAR) AS first_seen_date, detail_scrape_count
-FROM ({S.TRACKING}) t WHERE NOT detail_scraped AND is_active ORDER BY t.first_seen_date, job_url LIMIT 100""")
+SELECT job_url, source_site, first_seen_date, detail_scrape_count
+FROM ({TRACKED}) t WHERE NOT detail_scraped AND is_active ORDER BY t.first_seen_date, job_url LIMIT 100""")
 def detail_worklist(spark, d):
-    return dates_as_text(Tr.detail_worklist(W.url_tracking(spark, d)))
+    return dates_as_text(Tr.detail_worklist(_tracked(spark, d)))
 
 
 @query("profile_worklist", f"""
@@ -149,9 +154,9 @@ def profile_worklist(spark, d):
 
 @query("worklist_handlers", f"""
 SELECT source_site, CASE source_site WHEN 'irantalent' THEN 'a' WHEN 'jobinja' THEN 'b' ELSE 'c' END AS handler,
-  count(*) AS urls FROM ({S.TRACKING}) WHERE NOT detail_scraped AND is_active GROUP BY 1, 2""")
+  count(*) AS urls FROM ({TRACKED}) WHERE NOT detail_scraped AND is_active GROUP BY 1, 2""")
 def worklist_handlers(spark, d):
-    todo = Tr.detail_worklist(W.url_tracking(spark, d), limit=None)
+    todo = Tr.detail_worklist(_tracked(spark, d), limit=None)
     named = Tr.with_handler(todo, {"irantalent": "a", "jobinja": "b", "jobvision": "c"})
     return named.groupBy("source_site", "handler").agg(F.count("*").alias("urls"))
 
@@ -371,11 +376,10 @@ def company_dimension(spark, d):
 @query("company_lookup", f"""
 SELECT k.id, c.id AS company_id FROM ({COMPANY_KEYS}) k JOIN ({COMPANY_DIM}) c ON c.canonical_name = k.key""")
 def company_lookup(spark, d):
-    """Dimension ids per posting, with one key treated as hot."""
+    """Dimension ids per posting; hot keys are found by the lookup."""
     keys = D.company_keys(_named_postings(spark, d))
     companies = D.upsert_companies(_known_companies(spark, d), keys, W.AS_OF)
-    hot = [r["company_key"] for r in keys.orderBy("id").limit(3).collect()]
-    found = D.resolve(keys, companies, "company_key", "canonical_name", "company_id", hot)
+    found = D.resolve(keys, companies, "company_key", "canonical_name", "company_id")
     return found.select("id", F.col("company_id").cast("bigint").alias("company_id"))
 
 
@@ -433,7 +437,7 @@ FROM (SELECT m.id AS job_posting_id, k.id AS skill_id, 0.7::DOUBLE AS c FROM ({M
 FULL JOIN (SELECT doc_id AS job_posting_id, 1 AS skill_id, CASE WHEN doc_id % 2 = 0 THEN 0.9 ELSE 0.1 END::DOUBLE AS c
   FROM documents) s ON s.job_posting_id = n.job_posting_id AND s.skill_id = n.skill_id""")
 def skill_bridge(spark, d):
-    rows = D.bridge_rows(_mentions(spark, d), _skills(spark, d), hot=["Ening"])
+    rows = D.bridge_rows(_mentions(spark, d), _skills(spark, d))
     stored = W.texts(spark, d, "documents").select(
         F.col("doc_id").alias("job_posting_id"), F.lit(1).alias("skill_id"),
         F.lit("mentioned").alias("requirement_type"), F.lit("unknown").alias("proficiency_level"),
