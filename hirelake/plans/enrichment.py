@@ -40,12 +40,12 @@ from hirelake.sources.tables import TableStore
 
 @dataclass(frozen=True)
 class Hot:
-    """Keys holding a large share of the batch, per join."""
+    """Keys holding a large share of the batch, per join; None: the join finds them itself."""
 
-    companies: Sequence = field(default_factory=tuple)
-    locations: Sequence = field(default_factory=tuple)
-    skills: Sequence = field(default_factory=tuple)
-    texts: Sequence = field(default_factory=tuple)
+    companies: Sequence | None = None
+    locations: Sequence | None = None
+    skills: Sequence | None = None
+    texts: Sequence | None = None
 
 
 def translate(postings: DataFrame, memory: DataFrame, hot: Hot = Hot()) -> DataFrame:
