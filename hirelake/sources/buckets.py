@@ -22,12 +22,15 @@ class BucketTable:
     """A table of ``schema`` unique on ``keys``, in ``buckets`` parts.
 
     The number of buckets is fixed with the first write; choose it so that a bucket
-    has some hundred megabytes once the table is full.
+    has some hundred megabytes once the table is full.  Rows of a bucket are ordered by
+    ``sort``, if given, so that filters on it skip most pages of a file.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64, sort: Sequence[str] = ()
+    ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.buckets = list(keys), buckets
+        self.keys, self.buckets, self.sort = list(keys), buckets, list(sort)
         self.recover()
 
     def _fs(self, path: str):
@@ -69,7 +72,10 @@ class BucketTable:
 
     def _stage(self, rows: DataFrame) -> None:
         """Write the new content of buckets beside the table; ``_SUCCESS`` tells that it is whole."""
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self._pending)
+        self._sorted(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self._pending)
+
+    def _sorted(self, rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions(BUCKET, *self.sort) if self.sort else rows
 
     def recover(self) -> None:
         """Put a finished copy of a merge in place; an unfinished one is dropped."""
@@ -79,7 +85,7 @@ class BucketTable:
         if fs.exists(self._fs(f"{self._pending}/_SUCCESS")[1]):
             stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
             rows = self.spark.read.schema(stored).parquet(self._pending)
-            rows.repartition(self.buckets, BUCKET).write.mode("overwrite").option(
+            self._sorted(rows.repartition(self.buckets, BUCKET)).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy(BUCKET).parquet(self.path)
         fs.delete(pending, True)
