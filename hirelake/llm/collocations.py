@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -75,6 +76,14 @@ def _held(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _distinct(key: np.ndarray):
+    """Of each key its number in order of first use; of each number its first place and its count."""
+    own, distinct = pd.factorize(key)
+    first = np.empty(len(distinct), np.int64)
+    first[own[::-1]] = np.arange(len(key))[::-1]
+    return own, first, np.bincount(own, minlength=len(distinct))
+
+
 class _Counter:
     """Counts the phrases of one language's words that a pass asks for."""
 
@@ -88,37 +97,45 @@ class _Counter:
         places = np.flatnonzero(codes > _NONE)
         if 1 in self.lengths:
             yield pa.array([b""], pa.binary()), np.array([len(places)])
-        number = codes  # of the phrase that starts at a place, among those of its length
+        of_word = hashes[codes]
+        made = np.full(n, xxh64_intdigest(lang), np.uint64)  # hash of the phrase that starts at a place
+        number = codes  # of that phrase, among those of its length; kept in a first pass only
         for k in range(1, self.lengths.stop):
+            asked = places
             if k > 1:
                 # Both parts are proposed; and, in a further pass, were not both proposed before.
                 both = known[:-1] & known[1:]
                 both[-(k - 1) :] = False
-                places = np.flatnonzero(both)
-                fresh = None if self.before is None else ~(before[places] & before[places + 1])
+                places = asked = np.flatnonzero(both)
+                if self.before is not None:
+                    asked = places[~(before[places] & before[places + 1])]
             if not len(places):
                 return
-            key = number[places] if k == 1 else number[places] * size + codes[places + k - 1]
-            _, first, own, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-            at = places[first]
-            if k in self.lengths:
-                sent = np.ones(len(at), bool) if k == 1 or fresh is None else fresh[first]
-                if sent.any():
-                    parts = [words.take(pa.array(codes[at[sent] + i])) for i in range(k)]
-                    yield parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" "), count[sent]
+            if self.before is None:
+                key = number[places] if k == 1 else number[places] * size + codes[places + k - 1]
+                own, first, count = _distinct(key)
+                number = np.zeros(n, np.int64)
+                number[places] = own
+            elif k in self.lengths and len(asked):
+                # Little is asked in a further pass, so only that is numbered, from its first word on.
+                key = codes[asked]
+                for i in range(1, k):
+                    key = pd.factorize(key)[0] * size + codes[asked + i]
+                _, first, count = _distinct(key)
+            if k in self.lengths and len(asked):
+                parts = [words.take(pa.array(codes[asked[first] + i])) for i in range(k)]
+                yield parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" "), count
             if k + 1 == self.lengths.stop:
                 return
-            made = _hashed(lang, [hashes[codes[at + i]] for i in range(k)])
-            known, before = self._flags(made, own, places, n)
-            number = np.zeros(n, np.int64)
-            number[places] = own
+            made[places] = _mixed(made[places] * _STEP + of_word[places + k - 1])
+            known, before = self._flags(made[places], places, n)
 
-    def _flags(self, made: np.ndarray, own: np.ndarray, places: np.ndarray, n: int):
+    def _flags(self, made: np.ndarray, places: np.ndarray, n: int):
         both = []
         for bitmap in (self.known, self.before):
             flags = np.zeros(n, bool)
             if bitmap is not None:
-                flags[places] = _held(bitmap, made, self.bits)[own]
+                flags[places] = _held(bitmap, made, self.bits)
             both.append(flags)
         return both
 
