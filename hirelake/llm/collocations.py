@@ -4,9 +4,10 @@ A sample of the documents proposes phrases: those frequent in it at a lowered li
 pass over all documents then counts exactly the proposed phrases and their negative
 border, that is every occurring phrase whose parts (without its first and without its
 last word) are proposed.  Where a phrase of the border turns out frequent, phrases that
-extend it have not been counted: it is added to the proposals and a further pass counts
-what that brings within the border, until no frequent phrase is outside the proposals.
-Then all frequent phrases are counted, whatever the sample was.
+extend it have not been counted: it is added to the proposals, and one further pass counts
+every phrase not counted so far whose parts are proposed or not counted so far either.
+Then all frequent phrases are counted, whatever the sample was, as the parts of a
+frequent phrase are frequent.
 
 Proposals go to the tasks as a bitmap of fixed size with a bit for each phrase's hash: a
 shared bit lets a phrase too many be counted, and counts are of the phrases themselves.
@@ -85,7 +86,11 @@ def _distinct(key: np.ndarray):
 
 
 class _Counter:
-    """Counts the phrases of one language's words that a pass asks for."""
+    """Counts the phrases of one language's words that a pass asks for.
+
+    ``known`` has the proposals; ``before``, in a further pass, those of the first pass, which
+    tell what that pass counted.
+    """
 
     def __init__(self, lengths: range, known: np.ndarray | None, before: np.ndarray | None, bits: int):
         self.lengths, self.known, self.before, self.bits = lengths, known, before, bits
@@ -101,14 +106,15 @@ class _Counter:
         made = np.full(n, xxh64_intdigest(lang), np.uint64)  # hash of the phrase that starts at a place
         number = codes  # of that phrase, among those of its length; kept in a first pass only
         for k in range(1, self.lengths.stop):
-            asked = places
+            asked, counted = places, None
             if k > 1:
-                # Both parts are proposed; and, in a further pass, were not both proposed before.
+                # Both parts may be frequent; and, in a further pass, were not both proposed before.
                 both = known[:-1] & known[1:]
                 both[-(k - 1) :] = False
                 places = asked = np.flatnonzero(both)
                 if self.before is not None:
-                    asked = places[~(before[places] & before[places + 1])]
+                    counted = before[places] & before[places + 1]
+                    asked = places[~counted]
             if not len(places):
                 return
             if self.before is None:
@@ -128,16 +134,19 @@ class _Counter:
             if k + 1 == self.lengths.stop:
                 return
             made[places] = _mixed(made[places] * _STEP + of_word[places + k - 1])
-            known, before = self._flags(made[places], places, n)
-
-    def _flags(self, made: np.ndarray, places: np.ndarray, n: int):
-        both = []
-        for bitmap in (self.known, self.before):
-            flags = np.zeros(n, bool)
-            if bitmap is not None:
-                flags[places] = _held(bitmap, made, self.bits)
-            both.append(flags)
-        return both
+            known, before = self._flags(made[places], places, counted, n)
+
+    def _flags(self, made: np.ndarray, places: np.ndarray, counted: np.ndarray | None, n: int):
+        """By place: whether its phrase may be frequent, and whether the first pass counted and
+        proposed it.  A bit may be shared, so a bit alone doesn't tell that it was counted."""
+        known, before = np.zeros(n, bool), np.zeros(n, bool)
+        proposed = _held(self.known, made, self.bits)
+        if self.before is not None:
+            old = proposed if counted is None else proposed & counted
+            before[places] = old
+            before[places[old]] = _held(self.before, made[old], self.bits)
+        known[places] = proposed if counted is None else proposed | ~counted
+        return known, before
 
     def run(self, batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
         held, words, total = {}, _Vocabulary(), 0
@@ -237,7 +246,7 @@ def frequent_phrases(
     """(lang, phrase, f, k) of all phrases of 1 to ``longest`` words found ``min_count`` times
     or more in a language, and of each language's empty phrase (k = 0), f being its words.
 
-    The sample decides only how many passes it takes.
+    The sample decides only how much is counted, and whether a second pass is taken.
     """
     stages = stages or Stages(docs.sparkSession)
     texts = docs.select(
@@ -251,20 +260,17 @@ def frequent_phrases(
             found = counted(range(k, k + 1)).where((F.col("f") >= asked) & (F.col("phrase") != ""))
             known = known | bitmap_of(found, bits)
 
-    before, tables = None, []
-    while True:
+    def counted_table(known: np.ndarray, before: np.ndarray | None) -> DataFrame:
         with _counting(texts, known, before, bits, block) as counted:
             lengths = range(1 if before is None else 2, longest + 1)
             kept = counted(lengths).where((F.col("f") >= min_count) | (F.col("phrase") == ""))
-            tables.append(stages.add(kept.withColumn("k", _length()), "phrases"))
-        found = bitmap_of(tables[-1].where((F.col("k") > 0) & (F.col("k") < longest)), bits)
-        if not (found & ~known).any():  # the border has held
-            break
-        before, known = known, known | found
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
+            return stages.add(kept.withColumn("k", _length()), "phrases")
+
+    first = counted_table(known, None)
+    found = bitmap_of(first.where((F.col("k") > 0) & (F.col("k") < longest)), bits)
+    if not (found & ~known).any():  # the border has held
+        return first
+    return first.unionByName(counted_table(known | found, known))
 
 
 def collocations(

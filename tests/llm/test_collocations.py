@@ -5,7 +5,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from xxhash import xxh64_intdigest
 
 from hirelake.llm import collocations
 from tests.llm.test_operators import documents
@@ -68,6 +70,43 @@ def test_no_rows(spark):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
+def _bits(bits, *phrases):
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for phrase in phrases:
+        words = [np.array([xxh64_intdigest(w)], np.uint64) for w in phrase.encode().split(b" ")]
+        at = int(collocations._hashed("en", words)[0]) >> (64 - bits)
+        bitmap[at >> 3] |= 1 << (at & 7)
+    return bitmap
+
+
+def _counted(text, *how):
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], ["lang", "text"])
+    return {r["phrase"]: r["f"] for b in collocations._Counter(*how).run(iter([batch]), 100) for r in b.to_pylist()}
+
+
+def test_a_shared_bit_hides_no_phrase():
+    """The bit of `b c` was set in the first pass by another phrase; `c` was not proposed, so
+    `b c` and what extends it were not counted then."""
+    before = _bits(16, "a", "b", "a b", "b c")
+    known = before | _bits(16, "c")
+    assert _counted("a b c", range(2, 5), known, before, 16) == {"b c": 1, "a b c": 1}
+
+
+def test_one_further_pass_is_enough():
+    """Only words are known; all that they make is counted, but nothing that was found rare."""
+    assert _counted("a b c", range(2, 5), _bits(16, "a", "b", "c"), _bits(16), 16) == {"a b": 1, "b c": 1, "a b c": 1}
+    # `a b` was counted in the first pass and is not among the frequent ones.
+    assert _counted("a b c", range(2, 5), _bits(16, "a", "b", "c"), _bits(16, "a", "b"), 16) == {"b c": 1}
+
+
+@pytest.mark.parametrize("bits", [8, 10])
+def test_few_bits(spark, bits):
+    rows = corpus(random.Random(6))
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    got = collocations.collocations(docs, min_count=6, sample=0.02, bits=bits, block=300)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 6, 2000)
+
+
 def test_blocks_add_up():
     """With every phrase proposed and a block for each text."""
     counter = collocations._Counter(range(1, 3), np.full(1 << 10, 255, np.uint8), None, 13)
