@@ -152,6 +152,11 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), let(F.split(c, "&"), decode)).otherwise(c)
 
 
+def clean(text: Column) -> Column:
+    """The decoded and stripped text, null where the input is null."""
+    return let(text, lambda t: strip(unescape(t)))
+
+
 def clean_all(texts: Sequence[Column]) -> Column:
     """Decoded and stripped texts as an array, null where the input is null."""
     return F.transform(F.array(*texts), lambda t: strip(unescape(t)))

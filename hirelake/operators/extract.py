@@ -22,6 +22,7 @@ from hirelake.functions.people import (
 )
 from hirelake.functions.text import label_token, let, strip
 from hirelake.functions.urls import join_root, last_segment, prefix
+from hirelake.operators.skew import computed_once
 from hirelake.sources import values as V
 
 
@@ -297,9 +298,12 @@ def extract_site(
     keep = ["id", "source_site", "source_url"]
     skills = _b_tags(headings.skills) if site == "jobinja" else F.lit(None).cast("array<string>")
     cut = pages.where(F.col("source_site") == site).withColumns(rule.parts(headings))
-    read = cut.select(*keep, H.clean_all(list(texts.values())).alias("t"), skills.alias("s"))
+    # The link stands by itself, so a query of links only doesn't read the other texts.
+    link = texts.pop("company_url")
+    read = cut.select(*keep, H.clean_all(list(texts.values())).alias("t"), H.clean(link).alias("company_url"), skills.alias("s"))
     named = read.select(
         *keep,
+        "company_url",
         *[F.get("t", F.lit(i)).alias(name) for i, name in enumerate(texts)],
         F.transform("s", lambda t: strip(H.unescape(t))).alias("skills"),
     )
@@ -350,4 +354,5 @@ def attempts_of(pages: DataFrame, rules: Mapping[str, SiteRules] = RULES) -> Dat
 
 
 def company_urls(postings: DataFrame) -> DataFrame:
-    return postings.where(F.col("company_url").isNotNull()).select("company_url", "source_site")
+    found = computed_once(postings.select("source_site", "company_url"), company_url=F.col("company_url"))
+    return found.where(F.col("company_url").isNotNull()).select("company_url", "source_site")

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from hirelake.operators import extract as X
 from hirelake.functions import html as H
+from workload import views as W
+from workload.text_queries import _site_pages
 
 A = """<h1 class="font-20 margin-bottom-8 inline-middle font-weight-500 x"> Data <b>Engineer</b> </h1>
 <a class="c" href="/en/company/acme">Acme &amp; Co</a><span class="color-gray">Tehran</span>
@@ -118,3 +120,26 @@ def test_blocks_inside_blocks(spark):
     row = spark.createDataFrame([(page,)], "p string").select(
         F.transform(H.blocks(F.col("p"), "div", ["k"]), H.markup_text).alias("b")).first()
     assert row.b == ["abc", "b", "d"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_company_urls_read_links_only(spark):
+    """No other text of a page is read for its links, and a link once only."""
+    pages = spark.createDataFrame(
+        [(1, "irantalent", "u/1", A, 200), (2, "jobinja", "u/2", B, 200), (3, "jobvision", "u/3", C, 200)],
+        "id long, source_site string, source_url string, raw_html string, response_status int",
+    )
+    links = X.company_urls(X.extract_postings(pages, date(2024, 1, 1)))
+    assert "<h1" not in _plan(links) and "o-box__text" not in _plan(links)
+    assert _plan(links).count("companyHeader__logoLink") == 1
+    assert len(links.collect()) == 3
+
+
+def test_pages_are_dealt_by_their_number(spark, sf_dir, monkeypatch):
+    """Tasks get no more pages on a larger table, whatever joins leave."""
+    orders = W.table(spark, sf_dir, "orders").count()
+    monkeypatch.setattr(W, "TEXT_ROWS", -(-orders // 50))
+    assert _site_pages(spark, sf_dir).rdd.getNumPartitions() == 50

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from hirelake.sources.tables import spread
 
-#: Partitions that tables of long texts are dealt over here, as they come in one file.
-TEXT_PARTITIONS = 32
+#: Partitions that tables of long texts are dealt over here at least, as they come in one
+#: file, and rows that a partition gets at most, so that no task grows with its table.
+TEXT_PARTITIONS, TEXT_ROWS = 32, 20_000
 
 AS_OF = date(2001, 8, 1)
 RUN_AT = datetime(2001, 8, 1, 2, 0, 0)
@@ -28,7 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows take much CPU each."""
-    return spread(table(spark, sf_dir, name), TEXT_PARTITIONS)
+    rows = table(spark, sf_dir, name)
+    return spread(rows, text_partitions(rows))
+
+
+def text_partitions(rows: DataFrame) -> int:
+    """Partitions for as many rows as the scan ``rows`` has; Parquet knows their number."""
+    return max(TEXT_PARTITIONS, -(-rows.count() // TEXT_ROWS))
 
 
 def site_of(n: Column) -> Column:
@@ -43,8 +50,11 @@ def site_of(n: Column) -> Column:
 def postings(
     spark: SparkSession, sf_dir: str, names: bool = True, costly: bool = False
 ) -> DataFrame:
-    """Orders as postings; ``names`` joins company, segment and nation."""
-    o = (texts if costly else table)(spark, sf_dir, "orders")
+    """Orders as postings; ``names`` joins company, segment and nation.
+
+    ``costly`` deals them over tasks, after the joins, which would leave few of these.
+    """
+    o = table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     day = F.to_date("o_orderdate")
     status = F.col("o_orderstatus")
@@ -76,8 +86,9 @@ def postings(
         .alias("processing_status"),
         cust.alias("custkey"),
     )
+    dealt = (lambda rows: rows.repartition(text_partitions(o), "id")) if costly else (lambda rows: rows)
     if not names:
-        return base.drop("custkey")
+        return dealt(base.drop("custkey"))
     c = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"),
         F.col("c_name").alias("company_name_raw"),
@@ -85,7 +96,7 @@ def postings(
         F.col("c_nationkey").alias("n_nationkey"),
     )
     n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("location_raw"))
-    return base.join(c, "custkey").join(n, "n_nationkey").drop("custkey", "n_nationkey")
+    return dealt(base.join(c, "custkey").join(n, "n_nationkey").drop("custkey", "n_nationkey"))
 
 
 def company_table(spark: SparkSession, sf_dir: str) -> DataFrame:
