@@ -55,12 +55,19 @@ def count_rollup(postings: DataFrame) -> DataFrame:
 
 
 def company_rollup(postings: DataFrame) -> DataFrame:
-    """Bitmaps of the companies with postings per day, site and activity; null companies are none."""
+    """Bitmaps of the companies with postings per day, site and activity; null companies are none.
+
+    Ids are shuffled before they become bitmaps: a task's part of a day has few companies, and
+    each such part would be a bitmap of 4 KB on its way.
+    """
     company = F.col("company_id").cast("long")
+    keys = [DAY, SITE, "is_active", "part"]
     return (
         postings.where(company.isNotNull())
-        .groupBy(DAY, SITE, "is_active", F.bitmap_bucket_number(company).alias("part"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(company)).alias("companies"))
+        .select(DAY, SITE, "is_active", F.bitmap_bucket_number(company).alias("part"), F.bitmap_bit_position(company).alias("_bit"))
+        .repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.bitmap_construct_agg("_bit").alias("companies"))
     )
 
 
