@@ -62,8 +62,9 @@ class TrigramIndex:
     def update(self, postings: DataFrame) -> None:
         """Put the entries of new or changed postings in place of those they had."""
         ids = postings.select(F.col("id").cast("long").alias("id")).where("id is not null").distinct()
-        fresh = index_rows(postings).distinct()
-        self.table.merge(ids, lambda old, new: old.join(new, "id", "left_anti").unionByName(fresh))
+        # A text's trigrams are distinct; lookups count those of repeated ids once.
+        fresh = index_rows(postings)
+        self.table.merge(ids, lambda old, new: old.join(new.hint("shuffle_hash"), "id", "left_anti").unionByName(fresh))
 
     def read(self, grams: Sequence[str], fields: Sequence[str]) -> DataFrame:
         """The entries of some trigrams in some fields."""
@@ -103,7 +104,7 @@ def candidates(index: TrigramIndex, text: str, fields: Sequence[str]) -> DataFra
     return (
         index.read(rarest, fields)
         .groupBy("id", "field")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count_distinct("gram").alias("n"))
         .where(F.col("n") == len(rarest))
         .select("id")
         .distinct()

@@ -66,7 +66,8 @@ class BucketTable:
         touched = [r[0] for r in batch.select(self.bucket().alias("b")).distinct().collect()]  # ``buckets`` at most
         if touched:
             new = merged(self.read(touched), batch).select(*self.schema.names)
-            self._stage(new.withColumn(BUCKET, self.bucket()).repartition(len(touched), BUCKET))
+            # A bucket's rows go to as many tasks as their size asks for, so tasks don't grow with it.
+            self._stage(new.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET))
             self.recover()
         return sorted(touched)
 
@@ -85,7 +86,8 @@ class BucketTable:
         if fs.exists(self._fs(f"{self._pending}/_SUCCESS")[1]):
             stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
             rows = self.spark.read.schema(stored).parquet(self._pending)
-            self._sorted(rows.repartition(self.buckets, BUCKET)).write.mode("overwrite").option(
+            # They lie by bucket already, so they are copied without a shuffle.
+            self._sorted(rows).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy(BUCKET).parquet(self.path)
         fs.delete(pending, True)

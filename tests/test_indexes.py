@@ -7,10 +7,12 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelake.operators import metrics, rollups
-from hirelake.operators.trigrams import TrigramIndex, pattern_grams, search_indexed
+from hirelake.operators.trigrams import TrigramIndex, candidates, pattern_grams, search_indexed
 from hirelake.plans import reports
+from hirelake.sources.buckets import BucketTable
 from hirelake.sources.json_sink import MANIFEST, export_documents, read_documents
 
 DAY = date(2024, 3, 1)
@@ -144,3 +146,32 @@ def test_json_export(spark, tmp_path):
 
     export_documents(rows.where("id < 0"), path)
     assert read_documents(spark, path, rows.schema).count() == 0 and _left(path) == [MANIFEST]
+
+
+def test_companies_are_shuffled_as_ids(spark):
+    """No bitmaps of parts of a day are shuffled or sorted, 4 KB each."""
+    rows = spark.createDataFrame([], "first_seen_date date, source_site string, is_active boolean, company_id long")
+    plan = rollups.company_rollup(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange")
+    assert plan.count("Exchange") == 1
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    table = BucketTable(spark, f"{tmp_path}/t", T.StructType().add("id", "long").add("text", "string"), ["id"], 1, sort=["text"])
+    rows = spark.range(0, 40_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    spark.conf.set(name, "200k")
+    try:
+        table.merge(rows, lambda old, new: old.unionByName(new))
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "t" / "_bucket=0").glob("*.parquet"))) > 1
+    assert table.read().count() == 40_000 and table.read().distinct().count() == 40_000
+
+
+def test_a_repeated_id_is_found_once(spark, tmp_path):
+    one = "id long, title_persian string, title_english string, description_persian string, description_english string, company_name_raw string, location_raw string"
+    index = TrigramIndex(spark, f"{tmp_path}/grams", 2)
+    index.update(spark.createDataFrame([(1, "abcdef", *[None] * 5)] * 2 + [(2, "abcxyz", *[None] * 5)], one))
+    assert [r["id"] for r in candidates(index, "abcd", ["title_persian"]).collect()] == [1]
