@@ -9,7 +9,8 @@ table after a crash puts a finished copy in place once more.  One writer at a ti
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +18,27 @@ from pyspark.sql import types as T
 
 BUCKET = "_bucket"
 
+#: Spark's setting for files of different partitions that a task writes side by side; with
+#: it, rows aren't sorted by partition before they are written.  Beyond, Spark sorts.
+WRITERS, MOST_WRITERS = "spark.sql.maxConcurrentOutputFileWriters", 16
+
 
 class BucketTable:
     """A table of ``schema`` unique on ``keys``, in ``buckets`` parts.
 
     The number of buckets is fixed with the first write; choose it so that a bucket
     has some hundred megabytes once the table is full.  Rows of a bucket are ordered by
-    ``sort``, if given, so that filters on it skip most pages of a file.
+    ``sort``, if given, so that filters on it skip most pages of a file; without it, tasks
+    pass rows on and hold none.  A file gets ``file_rows`` rows at most, if given: for wide
+    rows that compress well, as a task's share of a scan goes by compressed bytes and files.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64, sort: Sequence[str] = ()
-    ):
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64, sort: Sequence[str] = (),
+        file_rows: int = 0,
+    ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.buckets, self.sort = list(keys), buckets, list(sort)
+        self.keys, self.buckets, self.sort, self.file_rows = list(keys), buckets, list(sort), file_rows
         self.recover()
 
     def _fs(self, path: str):
@@ -73,7 +81,24 @@ class BucketTable:
 
     def _stage(self, rows: DataFrame) -> None:
         """Write the new content of buckets beside the table; ``_SUCCESS`` tells that it is whole."""
-        self._sorted(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self._pending)
+        self._write(rows, "static", self._pending)
+
+    def _write(self, rows: DataFrame, overwrite: str, path: str) -> None:
+        with self._unsorted():
+            self._sorted(rows).write.mode("overwrite").option("partitionOverwriteMode", overwrite).option(
+                "maxRecordsPerFile", self.file_rows
+            ).partitionBy(BUCKET).parquet(path)
+
+    @contextmanager
+    def _unsorted(self) -> Iterator[None]:
+        """Writes in here don't sort rows by bucket, which would hold a task's rows uncompressed."""
+        before = self.spark.conf.get(WRITERS)
+        try:
+            if not self.sort:
+                self.spark.conf.set(WRITERS, str(min(self.buckets, MOST_WRITERS)))
+            yield
+        finally:
+            self.spark.conf.set(WRITERS, before)
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
         return rows.sortWithinPartitions(BUCKET, *self.sort) if self.sort else rows
@@ -87,7 +112,5 @@ class BucketTable:
             stored = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
             rows = self.spark.read.schema(stored).parquet(self._pending)
             # They lie by bucket already, so they are copied without a shuffle.
-            self._sorted(rows).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(BUCKET).parquet(self.path)
+            self._write(rows, "dynamic", self.path)
         fs.delete(pending, True)

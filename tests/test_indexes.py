@@ -175,3 +175,24 @@ def test_a_repeated_id_is_found_once(spark, tmp_path):
     index = TrigramIndex(spark, f"{tmp_path}/grams", 2)
     index.update(spark.createDataFrame([(1, "abcdef", *[None] * 5)] * 2 + [(2, "abcxyz", *[None] * 5)], one))
     assert [r["id"] for r in candidates(index, "abcd", ["title_persian"]).collect()] == [1]
+
+
+def test_wide_rows_are_written_unsorted_in_small_files(spark, tmp_path):
+    """A task that writes or reads a bucket holds few of its rows, however well they compress."""
+    from hirelake.sources import buckets
+
+    table = BucketTable(spark, f"{tmp_path}/t", T.StructType().add("id", "long"), ["id"], 2, file_rows=50)
+    asked, write = [], table._sorted
+    table._sorted = lambda rows: asked.append(spark.conf.get(buckets.WRITERS)) or write(rows)
+    before = spark.conf.get(buckets.WRITERS)
+    table.merge(spark.range(0, 1000, 1, 4), lambda old, new: old.unionByName(new))
+    assert asked == ["2", "2"] and spark.conf.get(buckets.WRITERS) == before
+    files = list((tmp_path / "t").glob("_bucket=*/*.parquet"))
+    assert len(files) >= 20 and max(spark.read.parquet(str(f)).count() for f in files[:5]) <= 50
+    assert sorted(r.id for r in table.read().collect()) == list(range(1000))
+    # A sorted table is sorted by what it says, by one writer after another.
+    ordered = BucketTable(spark, f"{tmp_path}/s", T.StructType().add("id", "long"), ["id"], 2, sort=["id"])
+    ordered.merge(spark.range(0, 100), lambda old, new: new)
+    assert ordered.read().count() == 100 and spark.conf.get(buckets.WRITERS) == before
+    made = rollups.Rollups(spark, str(tmp_path / "r"), buckets=2)
+    assert made.companies.file_rows == rollups.FILE_BITMAPS
