@@ -1,6 +1,7 @@
 """From raw documents to tokens: five stages, each written as Parquet and read again.
 
-Quality classifier, line dedup, near-dedup by MinHash, benchmark decontamination, BPE.
+Quality classifier, line dedup, near-dedup by SimHash (with MinHash for copies further off),
+benchmark decontamination, BPE.
 Each stage works on all that the one before it kept.
 """
 

@@ -10,7 +10,7 @@ difference, and then exact by the shingles.
 Sets that repeat count once everywhere.  Buckets are never capped: tasks combine a
 bucket's members in blocks before the shuffle, so a bucket of a third of all rows has a
 row a block there.  Only narrow rows are kept for all documents; texts are fetched for
-pairs that the sketches allow.
+pairs that the sketches allow, from those of all candidates, which are taken out once.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest, xxh64_digest
 
-from hirelake.llm.common import LOWER, Stages
+from hirelake.llm.common import LOWER, Stages, portions
 from hirelake.llm.components import components
-from hirelake.llm.simhash import row_hash
+from hirelake.llm.simhash import fingerprint, links, row_hash
 
 SHORT_BITS = 2048
 #: Members of a bucket compared in one group, members of a centre compared in one task.
@@ -66,19 +66,22 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
-def _marked(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """(doc, row, h1, h2, n, sketch)."""
+def _marked(batches: Iterator[pa.RecordBatch], shingle: int, fingerprints: bool) -> Iterator[pa.RecordBatch]:
+    """(doc, row, h1, h2, n, sketch, fp)."""
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            sets = [shingles(t, shingle) for t in part.column(2).to_pylist()]
+            texts = part.column(2).to_pylist()
+            sets = [shingles(t, shingle) for t in texts]
+            fps = np.array([fingerprint(t, shingle) for t in texts] if fingerprints else [0] * len(texts), np.uint64)
             h1, h2 = zip(*map(_digest, sets), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(1), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), pa.array([short_sketch(s) for s in sets], pa.binary()),
+                    pa.array(fps.view(np.int64)),
                 ],
-                ["doc", "row", "h1", "h2", "n", "sketch"],
+                ["doc", "row", "h1", "h2", "n", "sketch", "fp"],
             )
 
 
@@ -111,6 +114,13 @@ def _entries(batches: Iterator[pa.RecordBatch], shingle: int, keys: Keys, block:
         yield _combined(np.concatenate(held).view(np.int64), np.concatenate(nodes))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Entries of blocks of (piece, node)."""
+    for held in portions((b for b in batches if b.num_rows), lambda b: b.num_rows, block):
+        piece, node = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+        yield _combined(piece, node)
+
+
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(piece, node, least) of members of buckets with two or more, from sorted entries.
 
@@ -256,7 +266,7 @@ def _residual(
     part = buckets.join(classes.select("node", "id"), "node").join(roots, F.col("id") == F.col("node_id"), "left").select(
         "piece", "id", F.coalesce("root", "id").alias("root")
     )
-    placed = stages.add(part, "placed")
+    placed = stages.add(part, "placed", release=True)
     crowds = placed.groupBy("piece").agg(
         F.count("*").alias("many"), F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.bit_xor(F.xxhash64("id")).alias("s1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("s2"),
@@ -290,13 +300,15 @@ def alike_groups(
     empty_alike: bool = False,
     block: int = BLOCK,
     chunk: int = CHUNK,
+    fingerprints: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc, row (a hash of the text), n (size of its set) and
     component (smallest doc).
 
     The set has the distinct shingles of ``shingle`` words; fewer words are one shingle.
     Sets are linked at ``percent`` of their union in common, where they share one of
-    ``keys``; a component is all that links reach.  Null and empty texts and texts of
+    ``keys``; a component is all that links reach.  With ``fingerprints``, sets whose SimHash
+    fingerprints (of the same shingles) hang together within three bits share a key too.  Null and empty texts and texts of
     white space have no shingle: they are linked with each other (``empty_alike``) or
     with nothing.  Rows without an id take part but never name a component (one of such
     rows only has none).  Repeated rows come out repeated.  Extra columns are not read.
@@ -305,46 +317,56 @@ def alike_groups(
     stages = Stages(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
     read = docs.select(F.col(f"`{doc_id}`").alias("doc"), row_hash(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text"))
-    marks = T.StructType([T.StructField("doc", kind), *(T.StructField(c, T.LongType()) for c in ("row", "h1", "h2", "n")), T.StructField("sketch", T.BinaryType())])
-    rows = stages.add(read.mapInArrow(lambda b: _marked(b, shingle), marks), "rows")
+    marks = T.StructType([T.StructField("doc", kind), *(T.StructField(c, T.LongType()) for c in ("row", "h1", "h2", "n")), T.StructField("sketch", T.BinaryType()), T.StructField("fp", T.LongType())])
+    rows = stages.add(read.mapInArrow(lambda b: _marked(b, shingle, fingerprints), marks), "rows")
 
     entry = "piece long, node long, least long"
     entries = read.select("text").mapInArrow(lambda b: _entries(b, shingle, keys, block), entry)
+    if fingerprints:
+        marked = rows.where("n > 0").select("fp", "h1").distinct()
+        near_fps = stages.add(components(links(stages.add(marked.select("fp").distinct(), "fps"))), "fp-roots")
+        hung = marked.join(near_fps, F.col("fp") == F.col("node"), "left").select(
+            F.xxhash64(F.coalesce("root", "fp"), F.lit("fingerprint")).alias("piece"), F.col("h1").alias("node")
+        )
+        entries = entries.unionByName(hung.mapInArrow(lambda b: _blocks(b, block), entry))
     # Least members meet by piece; the others know their centre and go anywhere.
     where = F.when(F.col("least").isNull(), F.col("piece")).otherwise(F.xxhash64("piece", "node"))
     dealt = entries.repartition(where).sortWithinPartitions("piece", "least", "node")
-    members = stages.add(dealt.mapInArrow(_buckets, entry), "members")
+    members = stages.add(dealt.mapInArrow(_buckets, entry), "members", release=True)
 
     # A set is known by 128 bits; h1 alone (node) only finds candidates.  id is its number.
     wanted = members.select("node").union(members.select("least")).distinct()
-    known = rows.where("n > 0").join(wanted, F.col("h1") == F.col("node"), "left_semi").dropDuplicates(["h1", "h2"])
-    classes = stages.add(known.withColumnRenamed("h1", "node").withColumn("id", F.monotonically_increasing_id()), "classes")
+    known = rows.where("n > 0").drop("fp").join(wanted, F.col("h1") == F.col("node"), "left_semi").dropDuplicates(["h1", "h2"])
+    classes = stages.add(known.withColumnRenamed("h1", "node").withColumn("id", F.monotonically_increasing_id()), "classes", release=True)
     pairs = members.select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     side = lambda c: classes.select(F.col("node").alias(c), F.col("id").alias(f"i{c}"), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     asked = pairs.join(side("u"), "u").join(side("v"), "v").select("iu", "iv", "nu", "nv", "su", "sv")
-    near = stages.add(asked.mapInArrow(lambda b: _near(b, percent), "u long, v long"), "near")
+    near = stages.add(asked.mapInArrow(lambda b: _near(b, percent), "u long, v long"), "near", release=True)
+
+    # All texts are shuffled once here; the rounds read those of the candidates only.
+    one = classes.select("id", F.col("doc").alias("own_doc"), F.col("row").alias("own_row"))
+    same = F.col("doc").eqNullSafe(F.col("own_doc")) & (F.col("row") == F.col("own_row"))
+    known_texts = stages.add(read.join(one, same).select("id", "text"), "known-texts", release=True)
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-        one = classes.join(ids, "id", "left_semi").select("id", F.col("doc").alias("own_doc"), F.col("row").alias("own_row"))
-        same = F.col("doc").eqNullSafe(F.col("own_doc")) & (F.col("row") == F.col("own_row"))
-        texts = stages.add(read.join(one, same).select("id", "text"), "texts")
-        return stages.add(_links(pairs, texts, shingle, percent), "links")
+        texts = known_texts.join(ids, "id", "left_semi")
+        return stages.add(_links(pairs, texts, shingle, percent), "links", release=True)
 
-    links = verified(near)
-    found = stages.add(components(links), "roots")
+    confirmed = verified(near)
+    found = stages.add(components(confirmed), "roots")
     buckets = members.select("piece", "node").union(members.select("piece", F.col("least").alias("node"))).distinct()
     # First pairs that hold the buckets together, then what is left around those that failed,
     # ever more at once: each round tries pairs that none has tried, until there are none.
     apart, each = near.limit(0), 0
     while True:
         roots = found.withColumnRenamed("node", "node_id")
-        more = stages.add(_residual(buckets, classes, roots, apart, percent, chunk, each, stages), "residual")
+        more = stages.add(_residual(buckets, classes, roots, apart, percent, chunk, each, stages), "residual", release=True)
         if more.isEmpty():
             break
-        links = verified(more)
-        apart = apart.unionByName(stages.add(more.join(links, ["u", "v"], "left_anti"), "apart"))
-        joined = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links)
+        confirmed = verified(more)
+        apart = apart.unionByName(stages.add(more.join(confirmed, ["u", "v"], "left_anti"), "apart"))
+        joined = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(confirmed)
         found = stages.add(components(joined), "roots")
         each = 16 * max(each, 1)
 
@@ -354,7 +376,7 @@ def alike_groups(
     linked = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         F.col("node").alias("h1"), "h2", F.coalesce("root", "id").alias("root")
     )
-    joined = stages.add(sets.join(linked, ["h1", "h2"], "left"), "sets")
+    joined = stages.add(sets.join(linked, ["h1", "h2"], "left"), "sets", release=True)
     alone = joined.where("root is null").select("h1", "h2", F.col("doc").alias("component"))
     # One component may hold most sets: its name is repeated, so they stay spread.
     firsts = joined.where("root is not null").groupBy("root").agg(F.min("doc").alias("component")).withColumn(

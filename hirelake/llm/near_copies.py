@@ -1,9 +1,11 @@
 """Near copies: documents alike in at least 0.8 of their five-word shingles.
 
-Candidates come from MinHash: each document has ``BANDS`` independent fingerprints, each
-of ``ROWS`` minima over its shingles, and whoever shares one of them is a candidate; two
-documents at 0.8 share one in 99.9 of 100 cases.  Candidates are confirmed by the exact
-similarity of their shingle sets.
+Candidates come from SimHash as in ``simhash``, on five-word shingles: fingerprints that hang
+together within three bits are found on bit planes and make a bucket.  As documents at 0.8
+differ in ten bits or so, MinHash adds candidates: each document has ``BANDS`` bands of
+``ROWS`` minima over its shingles, and whoever shares one of them is a candidate; two documents
+at 0.8 share one in 99.9 of 100 cases.  All candidates are confirmed by the exact similarity
+of their shingle sets.
 
 How candidates are verified and grouped is in ``jaccard``.
 """
@@ -38,7 +40,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
 
     Null and empty texts and texts of white space are alike.
     """
-    return alike_groups(docs, bands, SHINGLE, round(100 * similarity), doc_id, text, empty_alike=True, **how)
+    return alike_groups(docs, bands, SHINGLE, round(100 * similarity), doc_id, text, empty_alike=True, fingerprints=True, **how)
 
 
 def near_copy_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

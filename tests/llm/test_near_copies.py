@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from hirelake.llm import near_copies
+from hirelake.llm.simhash import fingerprint
 
 
 def brute_shingles(text):
@@ -63,3 +66,25 @@ def test_stage_on_documents(spark, sf_dir):
     rows = sorted(docs.select("doc_id", "text").collect(), key=lambda r: r.doc_id)
     kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect())
     assert kept == [rows[i].doc_id for i in sorted(set(brute_groups([r.text for r in rows])))]
+
+
+def test_fingerprints_find_candidates_without_bands(spark, monkeypatch):
+    """Texts within three bits meet by their fingerprints alone, and are confirmed exactly."""
+    rng = random.Random(5)
+    texts = ["one two", "one two"]
+    for _ in range(30):
+        base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        texts += [" ".join(edited(base, k, rng)) for k in (0, 1, 1)]
+    # The same fingerprint, as one passage makes up most shingles, but sets that are not alike.
+    loop = " ".join("a b c d e f g".split() * 60)
+    texts += [f"{loop} {' '.join(f'{x}{i}' for i in range(20))}" for x in "pq"]
+    fps = [fingerprint(t, 5) for t in texts]
+    close = {(i, j) for i in range(len(texts)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3}
+    exact = brute_groups(texts)
+    meant = {i for i, j in close if exact[i] == exact[j]}
+    assert len(meant) > 20 and (len(texts) - 1, len(texts) - 2) in close and exact[-1] != exact[-2]
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: np.zeros(0, np.uint64))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc: r.component for r in near_copies.near_copies(docs, block=7, chunk=2).collect()}
+    assert meant <= {i for i, c in got.items() if c != i}
+    assert all(c == i or exact[i] == exact[c] for i, c in got.items())
