@@ -6,8 +6,13 @@ postings with all of them are candidates and only these are compared.  Patterns
 literal parts have less than three characters can't be looked up: they scan.
 
 The table is bucketed by the posting's id, so no bucket grows with a frequent trigram and
-a change of postings rewrites their buckets only; in a bucket entries are ordered by trigram,
-so a lookup reads the few pages of a file that hold its trigrams.
+a change of postings rewrites their buckets only; in a file entries are ordered by trigram, field
+and id, so a lookup reads the few pages of a file that hold its trigrams.  Ids are stored
+as differences, and those of a block of ``1 << BLOCK_BITS`` ids share a bucket, so differences
+are short where ids are given one after another; other ids are blocks of their own.
+
+What is shuffled are texts, not their trigrams: tasks get the texts of some postings of a
+bucket, so many that the trigrams are sorted in memory, and write a file each.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from pyspark.sql import types as T
 
 from hirelake.plans.reports import TEXT_COLUMNS, Search, search_postings
 from hirelake.sources.buckets import BucketTable
+from hirelake.sources.tables import settled
 
 INDEX = T.StructType().add("field", "string").add("gram", "string").add("id", "long")
 FIELDS = [*TEXT_COLUMNS, "company_name_raw", "location_raw"]
@@ -29,11 +35,15 @@ FIELDS = [*TEXT_COLUMNS, "company_name_raw", "location_raw"]
 LOOKED_UP = 3
 
 
-def index_rows(postings: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
-    """``(field, gram, id)`` of each text; null and shorter texts and rows without an id have none.
+BLOCK_BITS = 12
+#: Characters of texts that a task cuts into trigrams and sorts, some 100 bytes for each.
+TASK_CHARS = 2_500_000
+#: Differences of neighbouring ids are short, while dictionaries of ids and plain ids aren't.
+STORED = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#id": "false", "compression": "zstd"}
 
-    Row-local, each once for a text.
-    """
+
+def _numbered(postings: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``index_rows`` with a field's number in ``fields`` for its name."""
     # Joining characters takes linear time, cutting substrings out of UTF-8 wouldn't.
     chars = F.filter(F.split(F.lower(F.col("text")), ""), lambda c: c != "")
     last = F.size("chars") - 2
@@ -41,7 +51,7 @@ def index_rows(postings: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame
         F.sequence(F.lit(1), last),
         lambda i: F.concat(F.get("chars", i - 1), F.get("chars", i), F.get("chars", i + 1)),
     )
-    texts = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("text")) for c in fields])
+    texts = F.array(*[F.struct(F.lit(i).alias("field"), F.col(c).cast("string").alias("text")) for i, c in enumerate(fields)])
     return (
         postings.select("id", F.explode(texts).alias("t"))
         .select("id", "t.*")
@@ -53,18 +63,45 @@ def index_rows(postings: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame
     )
 
 
+def _named(entries: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return entries.select(F.get(F.array(*map(F.lit, fields)), "field").alias("field"), "gram", "id")
+
+
+def index_rows(postings: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
+    """``(field, gram, id)`` of each text; null and shorter texts and rows without an id have none.
+
+    Row-local, each once for a text.
+    """
+    return _named(_numbered(postings, fields), fields)
+
+
 class TrigramIndex:
     """The index as a bucketed table under ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.table = BucketTable(spark, path, INDEX, ["id"], buckets, sort=["gram"])
+        self.block = F.shiftright("id", BLOCK_BITS)
+        self.table = BucketTable(spark, path, INDEX, [self.block], buckets, sort=["gram", "field", "id"], options=STORED)
 
     def update(self, postings: DataFrame) -> None:
         """Put the entries of new or changed postings in place of those they had."""
         ids = postings.select(F.col("id").cast("long").alias("id")).where("id is not null").distinct()
-        # A text's trigrams are distinct; lookups count those of repeated ids once.
-        fresh = index_rows(postings)
-        self.table.merge(ids, lambda old, new: old.join(new.hint("shuffle_hash"), "id", "left_anti").unionByName(fresh))
+        # Ids of the index, so mostly one row for each posting after tasks have combined their entries.
+        known = settled(self.table.read().select("id").distinct().join(ids.hint("shuffle_hash"), "id", "left_semi"))
+        if known.isEmpty():
+            self.table.add(self._sorted(postings))
+        else:
+            # A text's trigrams are distinct; lookups count those of repeated ids once.
+            fresh = index_rows(postings)
+            self.table.merge(ids, lambda old, _: old.join(known, "id", "left_anti").unionByName(fresh))
+
+    def _sorted(self, postings: DataFrame) -> DataFrame:
+        """The entries, dealt by parts of the table's buckets and sorted in each."""
+        texts = postings.select(F.col("id").cast("long").alias("id"), *FIELDS).where("id is not null")
+        chars = texts.agg(F.sum(reduce(lambda a, b: a + b, [F.coalesce(F.length(c), F.lit(0)) for c in FIELDS]))).first()[0] or 0
+        # A multiple of the buckets, so each part lies in one of them.
+        parts = self.table.buckets * -(-max(1, chars) // (TASK_CHARS * self.table.buckets))
+        dealt = texts.repartitionById(parts, F.pmod(F.xxhash64(self.block), F.lit(parts)).cast("int"))
+        return _named(_numbered(dealt, FIELDS).sortWithinPartitions("gram", "field", "id"), FIELDS)
 
     def read(self, grams: Sequence[str], fields: Sequence[str]) -> DataFrame:
         """The entries of some trigrams in some fields."""

@@ -196,3 +196,58 @@ def test_wide_rows_are_written_unsorted_in_small_files(spark, tmp_path):
     assert ordered.read().count() == 100 and spark.conf.get(buckets.WRITERS) == before
     made = rollups.Rollups(spark, str(tmp_path / "r"), buckets=2)
     assert made.companies.file_rows == rollups.FILE_BITMAPS
+
+
+def _named(spark, ids, name="company"):
+    none = {f: F.lit(None).cast("string") for f in ("title_english", "description_persian", "description_english", "location_raw")}
+    return spark.createDataFrame([(i,) for i in ids], "id long").withColumns(
+        {"title_persian": F.concat(F.lit("posting "), F.col("id").cast("string")), "company_name_raw": F.lit(name), **none}
+    )
+
+
+def _files(folder):
+    return {f.relative_to(folder) for f in folder.rglob("*.parquet")}
+
+
+def test_new_postings_leave_what_is_indexed(spark, tmp_path, monkeypatch):
+    """Their texts are shuffled, trigrams are sorted where they are made, and no stored entry is rewritten."""
+    plans, add = [], BucketTable.add
+    monkeypatch.setattr(BucketTable, "add", lambda self, rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or add(self, rows))
+    index = TrigramIndex(spark, str(tmp_path / "g"), buckets=2)
+    index.update(_named(spark, [*range(0, 40_000, 10), None]))
+    before = _files(tmp_path / "g")
+    index.update(_named(spark, [*range(5, 40_000, 10), 2**62, -(2**62)]))
+    assert before and before < _files(tmp_path / "g") and len(plans) == 2
+    for plan in plans:
+        assert plan.rindex("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1
+    entries = index.table.read()
+    assert entries.count() == entries.distinct().count() and entries.select("id").distinct().count() == 8002
+    assert {r.id for r in candidates(index, "ing 1234", ["title_persian", "company_name_raw"]).collect()} >= {12340, 12345}
+    assert sorted(r.id for r in candidates(index, "461", ["title_persian", "company_name_raw"]).where("id > 40000 or id < 0").collect()) == [-(2**62), 2**62]
+    # A known one among the new ones: its entries are replaced, in its bucket.
+    index.update(_named(spark, [10, 11], "others"))
+    assert sorted(r.id for r in candidates(index, "others", ["company_name_raw"]).collect()) == [10, 11]
+    assert 10 not in {r.id for r in candidates(index, "company", ["company_name_raw"]).collect()}
+    entries = index.table.read()
+    assert entries.count() == entries.distinct().count() and entries.select("id").distinct().count() == 8003
+
+
+def test_an_interrupted_addition_is_finished(spark, tmp_path):
+    def table():
+        return BucketTable(spark, str(tmp_path / "t"), T.StructType().add("id", "long"), ["id"], 4)
+
+    table().add(spark.range(100).repartition(3))
+    mine = table()
+    moved, mine.recover = mine.recover, lambda: None
+    mine.add(spark.range(100, 200).repartition(3))
+    assert mine.read().count() == 100
+    # Some files have been moved, one has been copied and is still there.
+    files = sorted((tmp_path / "t-added").rglob("*.parquet"))
+    files[0].rename(tmp_path / "t" / files[0].relative_to(tmp_path / "t-added"))
+    (tmp_path / "t" / files[1].relative_to(tmp_path / "t-added")).write_bytes(files[1].read_bytes()[:50])
+    assert sorted(r.id for r in table().read().collect()) == list(range(200)) and not (tmp_path / "t-added").exists()
+    # An unfinished one is dropped.
+    mine.add(spark.range(200, 300))
+    (tmp_path / "t-added" / "_SUCCESS").unlink()
+    moved()
+    assert table().read().count() == 200 and not (tmp_path / "t-added").exists()
