@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,13 +139,19 @@ def candidates(index: TrigramIndex, text: str, fields: Sequence[str]) -> DataFra
     counted = index.read(grams, fields).groupBy("gram").count().collect()
     seen = {r["gram"]: r["count"] for r in counted}
     rarest = sorted(grams, key=lambda g: (seen.get(g, 0), g))[:LOOKED_UP]
+    # A bit for each field and gram; a posting's entries lie in one file, so tasks combine them
+    # and one row for each posting is shuffled.
+    bit = F.lit(0)
+    for i, (field, gram) in enumerate(product(fields, rarest)):
+        bit = F.when((F.col("field") == field) & (F.col("gram") == gram), 1 << i).otherwise(bit)
+    whole = (1 << len(rarest)) - 1
+    matched = [F.col("bits").bitwiseAND(F.lit(whole << (len(rarest) * i))) == F.lit(whole << (len(rarest) * i)) for i in range(len(fields))]
     return (
         index.read(rarest, fields)
-        .groupBy("id", "field")
-        .agg(F.count_distinct("gram").alias("n"))
-        .where(F.col("n") == len(rarest))
+        .groupBy("id")
+        .agg(F.bit_or(bit).alias("bits"))
+        .where(reduce(lambda a, b: a | b, matched))
         .select("id")
-        .distinct()
     )
 
 

@@ -251,3 +251,12 @@ def test_an_interrupted_addition_is_finished(spark, tmp_path):
     (tmp_path / "t-added" / "_SUCCESS").unlink()
     moved()
     assert table().read().count() == 200 and not (tmp_path / "t-added").exists()
+
+
+def test_found_entries_are_shuffled_once_for_each_posting(spark, tmp_path):
+    index = TrigramIndex(spark, str(tmp_path / "g"), buckets=2)
+    index.update(_named(spark, range(50)))
+    found = candidates(index, "posting 1", ["title_persian", "company_name_raw"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == plan.count("Exchange") == 1
+    assert sorted(r.id for r in found.collect()) == [1, *range(10, 20)]
