@@ -16,6 +16,12 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Spark's setting to delete shuffle files at the end of an execution.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Spark's setting for the bytes up to which it broadcasts a side of a join by itself, through the driver.
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+#: What joins of tables that grow with the input broadcast at most, as the driver holds one for each join
+#: until it happens to collect its garbage.
+SMALL = 1 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -52,22 +58,29 @@ def staged(df: DataFrame, what: str) -> DataFrame:
 
 
 class Stages:
-    """Tables written on the way to a result; ``clear`` deletes those no longer read."""
+    """Tables written on the way to a result; ``clear`` deletes those no longer read.
+
+    With ``broadcast``, joins on the way broadcast so many bytes at most by Spark's own choice.
+    """
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, broadcast: int | None = None):
+        self.spark, self.broadcast = spark, broadcast
         self.paths: list[str] = []
 
     def add(self, df: DataFrame, what: str, release: bool = False) -> DataFrame:
         """``df`` as a table; ``release`` deletes its shuffles once it is written, which
         suits a ``df`` that is evaluated for this table only."""
         path = f"{shared_folder(self.spark)}/{what}-{uuid.uuid4().hex}"
-        before = self.spark.conf.get(RELEASE, "false")
+        before, joins = self.spark.conf.get(RELEASE, "false"), self.spark.conf.get(BROADCAST)
         try:
             self.spark.conf.set(RELEASE, "true" if release else before)
+            if self.broadcast is not None:
+                now = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+                self.spark.conf.set(BROADCAST, str(min(now, self.broadcast)))
             df.write.parquet(path)
         finally:
             self.spark.conf.set(RELEASE, before)
+            self.spark.conf.set(BROADCAST, joins)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_128_digest, xxh64_digest
 
-from hirelake.llm.common import LOWER, Stages, portions
+from hirelake.llm.common import LOWER, SMALL, Stages, portions
 from hirelake.llm.components import components
 from hirelake.llm.simhash import fingerprint, links, row_hash
 
@@ -314,7 +314,7 @@ def alike_groups(
     rows only has none).  Repeated rows come out repeated.  Extra columns are not read.
     An empty table gives no rows.
     """
-    stages = Stages(docs.sparkSession)
+    stages = Stages(docs.sparkSession, SMALL)
     kind = docs.schema[doc_id].dataType
     read = docs.select(F.col(f"`{doc_id}`").alias("doc"), row_hash(F.col(f"`{text}`")).alias("row"), F.col(f"`{text}`").alias("text"))
     marks = T.StructType([T.StructField("doc", kind), *(T.StructField(c, T.LongType()) for c in ("row", "h1", "h2", "n")), T.StructField("sketch", T.BinaryType()), T.StructField("fp", T.LongType())])
@@ -324,7 +324,7 @@ def alike_groups(
     entries = read.select("text").mapInArrow(lambda b: _entries(b, shingle, keys, block), entry)
     if fingerprints:
         marked = rows.where("n > 0").select("fp", "h1").distinct()
-        near_fps = stages.add(components(links(stages.add(marked.select("fp").distinct(), "fps"))), "fp-roots")
+        near_fps = stages.add(components(links(stages.add(marked.select("fp").distinct(), "fps", release=True))), "fp-roots")
         hung = marked.join(near_fps, F.col("fp") == F.col("node"), "left").select(
             F.xxhash64(F.coalesce("root", "fp"), F.lit("fingerprint")).alias("piece"), F.col("h1").alias("node")
         )
@@ -365,7 +365,7 @@ def alike_groups(
         if more.isEmpty():
             break
         confirmed = verified(more)
-        apart = apart.unionByName(stages.add(more.join(confirmed, ["u", "v"], "left_anti"), "apart"))
+        apart = apart.unionByName(stages.add(more.join(confirmed, ["u", "v"], "left_anti"), "apart", release=True))
         joined = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(confirmed)
         found = stages.add(components(joined), "roots")
         each = 16 * max(each, 1)
@@ -378,14 +378,15 @@ def alike_groups(
     )
     joined = stages.add(sets.join(linked, ["h1", "h2"], "left"), "sets", release=True)
     alone = joined.where("root is null").select("h1", "h2", F.col("doc").alias("component"))
-    # One component may hold most sets: its name is repeated, so they stay spread.
+    # One component may hold most sets: its name is repeated, so they stay spread.  Spark sizes the names
+    # as they are before that and would broadcast ``SALTS`` times its limit, so it is told not to.
     firsts = joined.where("root is not null").groupBy("root").agg(F.min("doc").alias("component")).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
     salted = joined.where("root is not null").withColumn("salt", F.pmod(F.col("h2"), F.lit(SALTS)).cast("int"))
-    named = alone.unionByName(salted.join(firsts, ["root", "salt"]).select("h1", "h2", "component"))
+    named = alone.unionByName(salted.join(firsts.hint("merge"), ["root", "salt"]).select("h1", "h2", "component"))
     out = named_rows.select("doc", "row", "n", "h1", "h2").join(named, ["h1", "h2"]).select("doc", "row", "n", "component")
     empty = rows.where("n = 0").select("doc", "row", "n", F.col("doc").alias("component"))
-    final = stages.add(out if empty_alike else out.unionByName(empty), "alike")
+    final = stages.add(out if empty_alike else out.unionByName(empty), "alike", release=True)
     stages.clear(keep=1)
     return final

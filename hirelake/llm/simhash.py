@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_digest
 
 from hirelake.llm.common import LOWER, Stages, staged, table
-from hirelake.llm.components import components
+from hirelake.llm.components import components, stars
 
 RADIUS, SHINGLE, PIECES, CHUNK = 3, 3, 5, 4096
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -121,20 +121,6 @@ def within(members: np.ndarray, block: np.ndarray, blocks: np.ndarray, radius: i
     return row, ~over
 
 
-def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least node of each node's part, for links a-b among n nodes."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], least)
-        np.minimum.at(new, label[b], least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def links_of(groups: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within row groups (``groups`` ascending): side 0 and 2 are compared with 1
     and 2; so chunk pairs use 0 and 1, whole buckets 2."""
